@@ -90,14 +90,15 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     spark = docs.sparkSession
     t = whole_text(F.col(text))
     keys = docs.select(F.col(key).alias("doc_id"), F.xxhash64(t).alias("h"), F.length(t).cast("bigint").alias("n_chars"))
-    n_rows = keys.groupBy("doc_id", "h", "n_chars").count()
+    n_rows = stash(keys.groupBy("doc_id", "h", "n_chars").count(), "rows")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = neighbours(n_rows.drop("count"), parts)
     asked = links.select(F.col("next_id").alias("doc_id"), F.col("next_h").alias("h"), F.col("doc_id").alias("asker_id"), F.col("h").alias("asker_h"), F.floor(F.col("n_chars") / 4).cast("int").alias("quarter"))
     # both joins need the same columns of it by the same key, so one exchange serves both
     printed = fingerprint(docs, key, text)
     sent = printed.alias("d").join(asked.alias("a"), F.expr("d.doc_id <=> a.doc_id and d.h = a.h")).select("asker_id", "asker_h", F.substring("text", F.lit(1), F.col("quarter")).alias("prefix"), F.col("anchors").alias("next_anchors"))
-    sent = sent.dropDuplicates(["asker_id", "asker_h"])
+    if not n_rows.where("count > 1").isEmpty():
+        sent = sent.dropDuplicates(["asker_id", "asker_h"])
     both = printed.alias("d").join(sent.alias("s"), F.expr("d.doc_id <=> s.asker_id and d.h = s.asker_h"))
     n = F.length("text")
     kept = n - F.floor(n / 4).cast("int")
