@@ -15,9 +15,11 @@ empty result; only the key and the text of the input are used, so other columns
 
 from __future__ import annotations
 
+import functools
+import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,8 +33,8 @@ CAPACITY = 4096
 SLACK = 0.01
 END = 2
 BUCKET_ROWS = 50_000
-#: Different words at most whose tokens a worker remembers.
-REMEMBERED = 300_000
+#: Different words, and parts of words, at most whose tokens a worker remembers; about as many again are being forgotten.
+REMEMBERED = 250_000
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, fold int"
 
 
@@ -52,38 +54,117 @@ def cut(tokens: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tup
     return out
 
 
-class Words(dict):
-    """The ids of a run of characters without white space, as little-endian 32-bit numbers; asks the tokenizer once."""
+class Pairs:
+    """Byte-pair merging of one part of a word, with the ids of the tokenizer's file, by the faster of two libraries.
+
+    The file names pairs to merge; the faster library merges any neighbours that make a known token, least rank first.
+    Both are the same if each token is what its own bytes merge to: until it is made no merge has crossed its ends, so
+    its bytes have merged as they would alone. Tokens that their own bytes don't merge to are never made; they are left
+    out. The end of a word is the byte 255, which no UTF-8 text has; it joins the last byte before anything else.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        self.end, vocab = model["end_of_word_suffix"], model["vocab"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        order = {pair: i for i, pair in enumerate(merges)}
+        made = {"".join(pair) for pair in merges}
+        ids = [vocab["".join(pair)] for pair in merges]
+        single = [i for t, i in vocab.items() if t not in made]
+        if ids != sorted(ids) or max(single) > ids[0]:
+            raise ValueError("the ids of the tokenizer's file don't follow its merges")
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in set(plain)]
+        self.byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+        dropped = {"".join(pair) for pair in merges if self.merged("".join(pair), order) != ["".join(pair)]}
+        ranks = {bytes(map(self.byte.get, t.removesuffix(self.end))) + b"\xff" * t.endswith(self.end): i for t, i in vocab.items() if t not in dropped}
+        self.encode = tiktoken.Encoding("parts", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def merged(self, token: str, order: dict[tuple[str, str], int]) -> list[str]:
+        """What the bytes of a token merge to on their own."""
+        parts = list(token.removesuffix(self.end))
+        if token.endswith(self.end):
+            parts[-1] += self.end
+        while len(parts) > 1:
+            rank, i = min((order.get(pair, len(order)), i) for i, pair in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == len(order):
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
+
+    def __call__(self, part: str) -> bytes:
+        return np.asarray(self.encode(part.encode() + b"\xff"), "<u4").tobytes()
+
+
+class Memory(dict):
+    """A dict that fills itself and forgets what was not asked for while it last filled up."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.older = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(word) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
+class Words:
+    """The ids of a text, as little-endian 32-bit numbers.
+
+    The tokenizer drops white space and splits words at letters, digits and marks before it merges anything. For texts
+    of ASCII and western European letters that split is made here; the words of others go to the tokenizer itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.parts, self.words = Memory(Pairs(path)), Memory(self.word)
+
+    def word(self, word: str) -> bytes:
+        if PLAIN(word):
+            return b"".join([self.parts[x] for x in PARTS(word.lower())])
+        return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if PLAIN(text):
+            return b"".join(map(self.parts.__getitem__, PARTS(text.lower())))
+        return b"".join([self.words[x] for x in BREAK.split(text) if x])
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+
+BREAK = re.compile(r"[ \t\n\x0b\x0c\r]+")
+#: Texts of characters that normal form C leaves alone and whose lower case is one character.
+PLAIN = re.compile("[\x20-\x7e\t-\rÀ-ÖØ-öø-ÿ]*").fullmatch
+PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-zß-öø-ÿ0-9\\s]+").findall
+
+
+@functools.cache
+def known_words(path: str) -> Words:
+    """One memory for each Python worker, whatever number of tasks it runs."""
+    return Words(path)
 
 
 def tokenized(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
     """doc_id and its pieces: start, length, ids_crc32, doc_tokens, fold (the class).
-
-    The tokenizer drops white space and never joins across it, so the runs between it are encoded on their own.
     """
     kind = docs.schema[key].dataType.simpleString()
-    break_at = re.compile(r"[ \t\n\x0b\x0c\r]+")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, end = Words(path), np.asarray([END], "<u4").tobytes()
+        known, end = known_words(path), np.asarray([END], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc_id, whole in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = memoryview(b"".join([known[x] for x in break_at.split(whole or "") if x]) + end)
+                ids = memoryview(known(whole or "") + end)
                 n, start = len(ids) // 4, 0
                 for length, fold in cut(n):
                     rows.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n, fold))
