@@ -3,6 +3,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 
@@ -205,6 +206,14 @@ def test_packing(docs):
     assert rows["length"].sum() / (rows["sequence_id"].nunique() * packing.CAPACITY) > 0.97 and rows["sequence_id"].max() + 1 == rows["sequence_id"].nunique()
 
 
+def test_words_equal_the_tokenizer():
+    known, draw = packing.known_words(registry.tokenizer_path()), random.Random(3)
+    for letters in ("aZé'sSßÿÀ×÷ªº²½µ09.,!$́ΣσİſK<|endoftext|> \n-’\x7f\x1c 中ñ'll", "aZé'sSßÿÀ09.,!$<|> \n-ñ'll'rethe"):
+        for _ in range(3000):
+            text = "".join(draw.choice(letters) for _ in range(draw.randint(0, 14)))
+            assert list(np.frombuffer(known(text), "<u4")) == known.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_mixing(docs):
     rows = pd.DataFrame(local(mixing.mix(docs)))
     assert sorted(rows["size"]) == sorted(len(WORD.findall(d["text"] or "")) for d in local(docs))
