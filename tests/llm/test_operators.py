@@ -255,6 +255,28 @@ def test_near_dedup_against_all_pairs(spark):
     assert sorted(kept) == sorted(set(cls.values()))
 
 
+def star(copies):
+    """An original and copies that each insert 55 words of their own into its 300: near it, hardly near each other."""
+    draw = random.Random(copies)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, copies + 1):
+        text = list(base)
+        for _ in range(55):
+            text.insert(draw.randrange(len(text) + 1), f"x{draw.randrange(10**6)}")
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("copies", [10, 150])
+def test_near_dedup_of_a_star(spark, copies):
+    rows = star(copies)
+    sketch = {i: near_dedup.sketched(near_dedup.labelled(np.array([near_dedup.WordHash()[w] for w in t.split()], np.uint64))) for i, t in rows}
+    candidates = [i for i, _ in rows if (sketch[i] == sketch[0]).any()]
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert len(candidates) > 0.9 * copies and [i for i in candidates if cls[i] != cls[0]] == []
+
+
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_classifier.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1").select("doc_id", "quality".__str__(), F.col("toxic").alias("bad")).withColumnRenamed("quality", "good"), "doc_id").toPandas()
