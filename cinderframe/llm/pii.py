@@ -23,7 +23,7 @@ from cinderframe.llm.common import let, whole_text
 
 SPAN = "array<struct<start:int,kind:int,end:int,score:double>>"
 THRESHOLD = 0.5
-#: Code points before a span in which context words count.
+#: Code points before and after a span in which context words count.
 CONTEXT = 48
 
 
@@ -73,6 +73,16 @@ def mod97(m: Column) -> Column:
     return let(F.regexp_replace(m, "[^A-Z0-9]+", ""), lambda s: F.when(F.length(s) >= 5, rest(s) == 1).otherwise(F.lit(False)))
 
 
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+GROUPS = {n: "|".join(c.split()) for n, c in IBAN_LENGTHS.items()}
+#: As long as its country says, so that words after it are left alone; other countries' as long as it goes.
+IBAN = "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in GROUPS.items()) + rf"|(?!{'|'.join(GROUPS.values())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}"
+
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 YES = lambda m: F.lit(True)
 HAS_DIGIT = lambda t: t.rlike("[0-9]")
@@ -82,7 +92,7 @@ KINDS = [
     Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}+", HAS_DIGIT, lambda m: m.rlike(rf"^(?:{PART}\.){{3}}{PART}$"), 0.6, 0.3, "ip|address|host|server", True),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", HAS_DIGIT, luhn, 0.8, 0.2, "card|visa|credit|payment", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: F.contains(t, F.lit("+")), lambda m: F.length(digits(m)).between(9, 15), 0.7, 0.3, "phone|call|tel|mobile", True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), mod97, 0.7, 0.3, "iban|account|bank", False),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])", lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), mod97, 0.7, 0.3, "iban|account|bank", False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", HAS_DIGIT, YES, 0.3, 0.5, "ssn|social|security", False),
     Kind("secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}(?![A-Za-z0-9])", HAS_DIGIT, YES, 0.2, 0.6, "token|secret|key|password|passwd", False),
 ]
@@ -95,13 +105,14 @@ def spans_of(text: Column, k: int) -> Column:
     def located(b: Column) -> Column:
         measured = F.transform(b["m"], lambda m, i: F.struct(m.alias("m"), F.length(b["p"][i]).alias("gap"), F.length(m).alias("n")))
 
-        def score(start: Column) -> Column:
-            near = F.lower(F.substring(b["t"], F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT))))
+        def score(start: Column, end: Column) -> Column:
+            before = F.substring(b["t"], F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT)))
+            near = F.lower(F.concat_ws("\n", before, F.substring(b["t"], end + 1, F.lit(CONTEXT))))
             return F.lit(kind.prior) + F.when(near.rlike(rf"\b(?:{kind.context})"), F.lit(kind.lift)).otherwise(F.lit(0.0))
 
         def step(a: Column, x: Column) -> Column:
             start = a["at"] + x["gap"]
-            found = F.array(F.struct(start.alias("start"), F.lit(k).alias("kind"), (start + x["n"]).alias("end"), score(start).alias("score"))).cast(SPAN)
+            found = F.array(F.struct(start.alias("start"), F.lit(k).alias("kind"), (start + x["n"]).alias("end"), score(start, start + x["n"]).alias("score"))).cast(SPAN)
             return F.struct((start + x["n"]).alias("at"), F.when(kind.check(x["m"]), F.concat(a["out"], found)).otherwise(a["out"]).alias("out"))
 
         found = F.aggregate(measured, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), step, lambda a: a["out"])

@@ -111,6 +111,15 @@ def test_pii(docs):
     assert "[CARD]" in new[8]["text"] and "4111" not in new[8]["text"] and new[8]["n_chars"] == len(new[8]["text"]) and new[1]["text"] is None
 
 
+def test_iban_before_words_and_context_after(spark):
+    iban = "DE89 3704 0044 0532 0130 00"
+    texts = {1: f"{iban} BIC COBADEFF", 2: f"{iban} 100 EUR", 3: f"{iban}, thanks", 4: "123-45-6789 (SSN)", 5: "123-45-6789 (no)", 6: "DE89 3704 0044 0532 0130 01 BIC"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = {1: "iban:0:27", 2: "iban:0:27", 3: "iban:0:27", 4: "ssn:0:11", 5: "", 6: ""}
+    found = {r["doc_id"]: ",".join(x for x in r["spans"].split(",") if x[:4] in ("iban", "ssn:")) for r in local(pii.report(pii.find(docs)))}
+    assert found == want and {r["doc_id"]: r["text"] for r in local(pii.redact(docs))}[1] == "[IBAN] BIC COBADEFF"
+
+
 def test_fingerprints(docs):
     d = docs.where("doc_id >= 1000")
     texts = {r["doc_id"]: r["text"] for r in local(d)}
