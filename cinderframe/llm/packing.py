@@ -121,14 +121,17 @@ class Words:
     """The ids of a text, as little-endian 32-bit numbers.
 
     The tokenizer drops white space and splits words at letters, digits and marks before it merges anything. For texts
-    of ASCII and western European letters that split is made here; the words of others go to the tokenizer itself.
+    of ASCII and western European letters that split is made here; the words of others go to the tokenizer itself, and so
+    do, whole, texts that hold the literal of an added token.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            added = [t["content"] for t in json.load(f)["added_tokens"]]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)").search
         self.parts, self.words = Memory(Pairs(path)), Memory(self.word)
 
     def word(self, word: str) -> bytes:
@@ -137,6 +140,8 @@ class Words:
         return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if self.added(text):
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if PLAIN(text):
             return b"".join(map(self.parts.__getitem__, PARTS(text.lower())))
         return b"".join([self.words[x] for x in BREAK.split(text) if x])

@@ -223,6 +223,14 @@ def test_words_equal_the_tokenizer():
             assert list(np.frombuffer(known(text), "<u4")) == known.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_special_literals_equal_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain, known = Tokenizer.from_file(registry.tokenizer_path()), packing.known_words(registry.tokenizer_path())
+    for text in ("end <|endoftext|> of", "a<|startoftext|>中 ñ", "a <|ENDOFTEXT|> b", "<|endoftext|>"):
+        assert list(np.frombuffer(known(text), "<u4")) == plain.encode(text, add_special_tokens=False).ids, text
+
+
 def test_mixing(docs):
     rows = pd.DataFrame(local(mixing.mix(docs)))
     assert sorted(rows["size"]) == sorted(len(WORD.findall(d["text"] or "")) for d in local(docs))
