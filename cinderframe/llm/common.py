@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +15,47 @@ SPACE = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+#: Different words at most whose hashes a worker remembers.
+REMEMBERED = 500_000
+
+
+def split_words(text: str) -> list[bytes]:
+    """The words of a text, as words() has them, in UTF-8; str.split() would also split at other white space."""
+    return text.encode().split()
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (MurmurHash3's constants)."""
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+class WordHash(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= REMEMBERED:
+            self.clear()
+        h = xxhash.xxh64_intdigest(word)
+        self[word] = h
+        return h
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in local mode (tests), a folder of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cinderframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

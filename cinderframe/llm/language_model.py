@@ -1,15 +1,23 @@
-"""A Katz backoff language model of words.
+"""A Katz backoff language model of words, of any order.
 
 Counts of up to k = 5 are discounted by Good-Turing; the mass that a context loses goes to the words not seen after it,
-by their unigram probabilities, so that each context's distribution sums to exactly one:
+by the model of the next lower order, so that each context's distribution sums to exactly one:
 
-    P(w | v) = d(c(v w)) c(v w) / n(v)                       if v w was seen
-             = alpha(v) P(w)                                 if not, alpha(v) = (1 - sum seen P(w | v)) / (1 - sum seen P(w))
+    P(w | h) = d(c(h w)) c(h w) / n(h)                       if h w was seen
+             = alpha(h) P(w | h')                            if not, h' being h without its first word,
+               alpha(h) = (1 - sum seen P(w | h)) / (1 - sum seen P(w | h'))
     P(w)     = d(c(w)) c(w) / N                              if w was seen, else the mass that singletons and the like lost
 
 A context none of whose counts is discounted gets one observation more, of something unseen. A context that was never
-seen backs off entirely. Model tables (unigrams, bigrams with their probabilities, contexts) are written as Parquet and
-joined by key; all counts cover all training rows.
+seen backs off entirely. All counts cover all training rows.
+
+How it is computed: documents are encoded once into blocks of about BLOCK tokens, a row each. The model's tables are
+partitioned by ranges of a 64-bit hash of the n-gram, or of the context. A block asks each partition for the totals of
+its own different n-grams, sorted, and brings its own counts along; the partition sums them and answers in the order of
+the asking. So an n-gram travels once from each block that has it, however frequent it is, and what comes back is counts
+only. One block is told that it owns an n-gram; it adds that n-gram to the sums of its context, which the partitions of
+contexts answer alike. Scoring then evaluates the recursion for each token of a block from the answers. No table is
+broadcast or collected; the driver gets a spectrum (seven numbers) for each order.
 
 Defined results: a null text is an empty one, of one token (the end); texts are taken whole, of any length; rows that
 repeat are counted as often as they occur and have equal scores; a null key is hashed as the empty string; with no
@@ -19,28 +27,81 @@ text of the input are used, so other columns of any name do no harm.
 
 from __future__ import annotations
 
-import string
+import zlib
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderframe.llm.common import let, stash, whole_text, words
+from cinderframe.llm.common import WordHash, discard, mixed, stash, whole_text
 
 BEGIN, END = 1, 2
+#: Words of an n-gram.
+ORDER = 2
 #: Counts up to this one are discounted.
 GOOD_TURING = 5
+#: Tokens of a block, about; a document is in one block. N-grams of a partition at most, about.
+BLOCK, PART = 1 << 20, 1 << 22
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def planes(a: np.ndarray) -> bytes:
+    """An array, byte plane by byte plane: planes of zeros vanish when rows are compressed."""
+    return a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
+
+
+def unplaned(b: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(b, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    return np.cumsum(unplaned(b, "<u8"), dtype=np.uint64)
 
 
-def tokens(text: Column) -> Column:
-    """Hashes of the words, A to Z in lower case."""
-    return F.transform(words(F.translate(text, string.ascii_uppercase, string.ascii_lowercase)), lambda w: F.xxhash64(w))
+def encoded(docs: DataFrame, key: str, text: str, folds: int) -> DataFrame:
+    """docs as blocks: block, ids, lengths, train (flags), words (different ones, hashed), codes (a place in words for each token)."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, turn = WordHash(), 0
+        ids, flat, lengths = [], [], []
 
-def bigrams(docs: DataFrame) -> DataFrame:
-    """docs(d, train, text) as a row for each token: d, train, v (the word before it), w."""
-    begin, end = F.array(F.lit(BEGIN).cast("bigint")), F.array(F.lit(END).cast("bigint"))
-    zipped = let(tokens(F.col("text")), lambda t: F.arrays_zip(F.concat(begin, t).alias("v"), F.concat(t, end).alias("w")))
-    return docs.select("d", "train", F.explode(zipped).alias("b")).select("d", "train", F.col("b.v").alias("v"), F.col("b.w").alias("w"))
+        def block() -> pd.DataFrame:
+            nonlocal turn
+            words, codes, counts = np.unique(np.concatenate(flat), return_inverse=True, return_counts=True)
+            order = np.argsort(-counts, kind="stable")  # frequent words get small codes
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            train = np.array([zlib.crc32((i or "").encode()) % folds != 0 for i in ids])
+            number = (TaskContext.get().partitionId() << 32) + turn
+            turn += 1
+            row = {"block": number, "ids": ids, "lengths": planes(np.array(lengths, "<i4")), "train": train.tobytes(), "words": words[order].tobytes(), "codes": zlib.compress(planes(place[codes]), 1)}
+            return pd.DataFrame([row | {"tokens": int(sum(lengths)), "train_tokens": int(np.array(lengths)[train].sum())}])
+
+        held = 0
+        for batch in batches:
+            for i, t in zip(batch["doc_id"], batch["text"], strict=True):
+                words = t.encode().lower().split()  # bytes: only A to Z get lower, only ASCII white space separates
+                flat.append(np.fromiter((known[w] for w in words), np.uint64, len(words)))
+                flat.append(np.array([END], np.uint64))
+                ids.append(i)
+                lengths.append(len(words) + 1)
+                held += len(words) + 1
+                if held >= BLOCK:
+                    yield block()
+                    ids, flat, lengths, held = [], [], [], 0
+        if ids:
+            yield block()
+
+    slim = docs.select(F.col(key).cast("string").alias("doc_id"), whole_text(F.col(text)).alias("text"))
+    return slim.mapInPandas(run, "block long, ids array<string>, lengths binary, train binary, words binary, codes binary, tokens long, train_tokens long")
 
 
 def discounts(spectrum: dict[int, int], k: int = GOOD_TURING) -> list[float]:
@@ -59,69 +120,165 @@ def discounts(spectrum: dict[int, int], k: int = GOOD_TURING) -> list[float]:
     return [(r - least) / r for r in range(1, k + 1)]
 
 
-def discounted(c: Column, d: list[float]) -> Column:
-    """c times its discount; a zero count stays zero."""
-    return F.coalesce(F.element_at(F.array(*map(F.lit, d)), F.least(F.greatest(c, F.lit(1)), F.lit(len(d))).cast("int")) * F.when(c <= len(d), c), c.cast("double"))
+def discounted(c: np.ndarray, d: list[float]) -> np.ndarray:
+    return c * np.concatenate([[1.0], d, [1.0]])[np.minimum(c, len(d) + 1).astype(int)]
+
+
+class Block:
+    """A row of encoded(): its tokens' n-grams of each order, with those that differ, sorted."""
+
+    def __init__(self, row, order: int):
+        self.ids, self.lengths = row["ids"], unplaned(row["lengths"], "<i4")
+        self.train = np.frombuffer(row["train"], bool)
+        codes = unplaned(zlib.decompress(row["codes"]), "<u4")
+        words = np.frombuffer(row["words"], np.uint64)[codes]
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(int)
+        self.grams, self.contexts = [words], [None]
+        begin = np.array([BEGIN], np.uint64)
+        for o in range(2, order + 1):
+            before = np.concatenate([begin, self.grams[-1][:-1]])
+            before[self.starts] = begin[0]
+            self.contexts.append(before)
+            self.grams.append(mixed(before * ODD + words + np.uint64(o)))
+            begin = mixed(begin * ODD + np.uint64(BEGIN + o))
+
+    def asked(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each order: its number, the different n-grams, where each occurs first, each token's place among them, how often each occurs in training."""
+        trained = np.repeat(self.train, self.lengths).astype(float)
+        for o, grams in enumerate(self.grams, 1):
+            keys, first, place = np.unique(grams, return_index=True, return_inverse=True)
+            yield o, keys, first, place, np.bincount(place, trained, len(keys))
+
+
+def dealt(block: int, kind: int, keys: np.ndarray, values: list[np.ndarray], parts: int) -> Iterator[tuple]:
+    """Rows for the partitions that sorted keys fall into: block, kind, part, keys, values."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(int)
+    ends = np.searchsorted(part, np.arange(parts + 1))
+    for p in np.flatnonzero(np.diff(ends)):
+        cut = slice(ends[p], ends[p + 1])
+        yield block, kind, int(p), packed(keys[cut]), b"".join(planes(v[cut]) for v in values)
+
 
+ASKED = "block long, kind int, part int, keys binary, amounts binary"
 
-def spectrum(counts: DataFrame) -> dict[int, int]:
-    """How many types were seen 1, 2, ... k + 1 times: k + 1 rows."""
-    return {r["c"]: r["n"] for r in counts.where(F.col("c") <= GOOD_TURING + 1).groupBy("c").agg(F.count("*").alias("n")).collect()}
+
+def gram_totals(rows: pd.DataFrame) -> pd.DataFrame:
+    """The answers of one partition of n-grams: totals, which of them the block owns, and once the spectrum."""
+    rows = rows.sort_values("block")
+    keys, counts = [unpacked(k) for k in rows["keys"]], [unplaned(v, "<u4") for v in rows["amounts"]]
+    flat, mine = np.concatenate(keys), np.concatenate(counts)
+    distinct, place = np.unique(flat, return_inverse=True)
+    totals = np.bincount(place, mine, len(distinct))
+    had = np.flatnonzero(mine)[::-1]
+    first = np.full(len(distinct), -1)
+    first[place[had]] = had
+    owned = np.zeros(len(flat), bool)
+    owned[first[first >= 0]] = True
+    seen = totals[totals > 0]
+    spectrum = [len(seen), *np.bincount(np.minimum(seen, GOOD_TURING + 2).astype(int), minlength=GOOD_TURING + 3)[1 : GOOD_TURING + 2].tolist()]
+    ends = np.cumsum([0, *map(len, keys)])
+    answers = [planes(totals[place[a:b]].astype("<u4")) + np.packbits(owned[a:b]).tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+    return pd.DataFrame({"block": rows["block"], "kind": rows["kind"], "part": rows["part"], "answer": answers, "spectrum": [spectrum] + [[0] * len(spectrum)] * (len(rows) - 1)})
+
+
+def context_totals(rows: pd.DataFrame) -> pd.DataFrame:
+    """The answers of one partition of contexts: what a count is divided by, and alpha."""
+    rows = rows.sort_values("block")
+    keys, sums = [unpacked(k) for k in rows["keys"]], [np.split(np.frombuffer(v, np.uint8), 3) for v in rows["amounts"]]
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    n, kept, lower = (np.bincount(place, np.concatenate([unplaned(s[j].tobytes(), "<f8") for s in sums]), len(distinct)) for j in range(3))
+    den = np.where(n - kept > 1e-9, n, n + 1)
+    alpha = np.where(n > 0, (1 - kept / den) / np.maximum(1 - lower, 1e-300), 1.0)
+    ends = np.cumsum([0, *map(len, keys)])
+    answers = [planes(den[place[a:b]]) + planes(alpha[place[a:b]]) for a, b in zip(ends, ends[1:], strict=False)]
+    return pd.DataFrame({"block": rows["block"], "kind": rows["kind"], "part": rows["part"], "answer": answers, "spectrum": [[0]] * len(rows)})
+
+
+ANSWERS = "block long, kind int, part int, answer binary, spectrum array<long>"
 
 
 class Model:
-    """Tables: unigrams (w, c, p), bigrams (v, w, lp: log10 P(w | v), base: log10 of the smoothed unigram share), contexts (v, alpha)."""
-
-    def __init__(self, train: DataFrame):
-        """train: bigrams() rows of the training documents."""
-        counts = stash(train.groupBy("v", "w").agg(F.count("*").alias("c")), "bigrams")
-        unigrams = stash(counts.groupBy("w").agg(F.sum("c").alias("c")), "unigrams")
-        self.total, self.types = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-        d1, d2 = discounts(spectrum(unigrams)), discounts(spectrum(counts))
-        mass = unigrams.withColumn("p", discounted(F.col("c"), d1) / F.lit(float(max(1, self.total))))
-        kept = mass.agg(F.coalesce(F.sum("p"), F.lit(0.0))).first()[0]
+    """What a block needs to evaluate the recursion, besides the answers: numbers of the whole corpus."""
+
+    def __init__(self, total: int, spectra: dict[int, list[int]]):
+        self.total, self.types = total, spectra[1][0]
+        self.d = {o: discounts(dict(enumerate(s))) for o, s in spectra.items()}
+        lost = sum((1 - d) * r * spectra[1][r] for r, d in enumerate(self.d[1], 1))
         # a vocabulary without rare words gives the unseen one observation
-        scale = 1.0 if kept < 1 - 1e-12 or not self.total else self.total / (self.total + 1)
-        self.unseen = 1 - kept * scale
-        self.unigrams = mass.withColumn("p", F.col("p") * scale)
-        typed = stash(counts.join(self.unigrams.select("w", "p", F.col("c").alias("cw")), "w").withColumn("dc", discounted(F.col("c"), d2)), "typed")
-        lost = F.col("n") - F.col("dc")
-        contexts = typed.groupBy("v").agg(F.sum("c").cast("double").alias("n"), F.sum("dc").alias("dc"), F.sum("p").alias("p"))
-        contexts = contexts.withColumn("den", F.when(lost > 1e-9, F.col("n")).otherwise(F.col("n") + 1))
-        self.contexts = stash(contexts.select("v", "den", ((1 - F.col("dc") / F.col("den")) / (1 - F.col("p"))).alias("alpha")), "contexts")
-        self.bigrams = typed.join(self.contexts, "v").select("v", "w", F.log10(F.col("dc") / F.col("den")).alias("lp"), self.base(F.col("cw")).alias("base"))
-
-    def base(self, c: Column) -> Column:
-        return F.log10((c + 0.1) / F.lit(self.total + 0.1 * (self.types + 1)))
-
-    def scored(self, rows: DataFrame) -> DataFrame:
-        """rows(d, v, w) summed by d: base_score, score, n_known. Seen bigrams need one join, the others back off."""
-        joined = stash(rows.join(self.bigrams, ["v", "w"], "left").select("d", F.when(F.col("lp").isNull(), F.col("v")).alias("v"), F.when(F.col("lp").isNull(), F.col("w")).alias("w"), "lp", "base").groupBy("d", "v", "w").agg(F.count("*").alias("n"), F.sum("lp").alias("lp"), F.sum("base").alias("base")), "joined")
-        seen = joined.where("w is null").select("d", F.col("lp").alias("score"), F.col("base").alias("base_score"), F.col("n").alias("n_known"))
-        back = joined.where("w is not null").select("d", "v", "w", "n").join(self.unigrams, "w", "left").join(self.contexts, "v", "left")
-        p = F.coalesce("p", F.lit(self.unseen)) * F.coalesce("alpha", F.lit(1.0))
-        back = back.select("d", (F.col("n") * F.log10(p)).alias("score"), (F.col("n") * self.base(F.coalesce("c", F.lit(0)))).alias("base_score"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("n_known"))
-        return seen.unionByName(back).groupBy("d").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base_score"), F.sum("n_known").alias("n_known"))
-
-
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
+        self.scale = 1.0 if lost > 1e-12 * total or not total else total / (total + 1)
+        self.unseen = 1 - (total - lost) / max(1, total) * self.scale if total else 1.0
+
+    def evaluated(self, block: Block, answers: pd.DataFrame, upto: int) -> tuple[np.ndarray, np.ndarray, list]:
+        """Each token's unigram count, its probability by the order `upto`, and asked() of each order with totals and ownership.
+
+        Answers of kind o are totals of order o; those of kind -o are contexts of order o.
+        """
+        by = {k: g.sort_values("part")["answer"].tolist() for k, g in answers.groupby("kind")}
+        asked, p = [], None
+        for o, keys, first, place, _ in block.asked():
+            totals, owned = [], []
+            for a in by[o]:
+                n = len(a) * 8 // 33
+                n -= next(i for i in range(3) if 4 * (n - i) + (n - i + 7) // 8 == len(a))
+                totals.append(unplaned(a[: 4 * n], "<u4"))
+                owned.append(np.unpackbits(np.frombuffer(a[4 * n :], np.uint8), count=n).astype(bool))
+            totals, owned = np.concatenate(totals).astype(float), np.concatenate(owned)
+            asked.append((keys, first, totals, owned))
+            c = totals[place]
+            if o == 1:
+                count = c
+                p = np.where(c > 0, discounted(c, self.d[1]) / max(1, self.total) * self.scale, self.unseen)
+            elif o <= upto:
+                halves = [np.split(np.frombuffer(a, np.uint8), 2) for a in by[-o]]
+                den, alpha = (np.concatenate([unplaned(h[j].tobytes(), "<f8") for h in halves]) for j in range(2))
+                of = np.unique(block.contexts[o - 1], return_inverse=True)[1]
+                p = np.where(c > 0, discounted(c, self.d[o]) / den[of], alpha[of] * p)
+        return count, p, asked
+
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row for each row of docs.
 
     Rows whose crc32 of the key, as text, is divisible by `folds` are held out of the training.
     """
-    t, k = whole_text(F.col(text)), F.coalesce(F.col(key).cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).alias("doc_id"), t.alias("text"), F.xxhash64(k, t).alias("d"), (F.crc32(F.encode(k, "UTF-8")) % folds != 0).alias("train"))
-    slim = rows.select("doc_id", "d", "train", (F.size(words(F.col("text"))) + 1).cast("bigint").alias("n_tokens"))
-    pairs = bigrams(rows.select("d", "train", "text"))
-    model = Model(pairs.where("train"))
-    times = slim.groupBy("d").agg(F.count("*").alias("times"))
-    sums = model.scored(pairs.select("d", "v", "w")).join(times, "d")
-    return slim.join(sums, "d").select(
-        "doc_id",
-        (~F.col("train")).alias("held_out"),
-        "n_tokens",
-        (F.col("n_known") / F.col("times")).cast("bigint").alias("n_known"),
-        F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base_score") / F.col("times")).alias("base_score"),
-        (F.col("score") / F.col("times")).alias("score"),
-    )
+    kind = docs.schema[key].dataType.simpleString()
+    blocks = stash(encoded(docs, key, text, folds), "lm-blocks")
+    tokens, total = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("train_tokens"), F.lit(0))).first()
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), tokens // PART)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, row in batch.iterrows():
+                for o, keys, _, _, counts in Block(row, order).asked():
+                    yield pd.DataFrame(dealt(row["block"], o, keys, [counts.astype("<u4")], parts), columns=["block", "kind", "part", "keys", "amounts"])
+
+    answers = stash(blocks.mapInPandas(ask, ASKED).groupBy("kind", "part").applyInPandas(gram_totals, ANSWERS), "lm-grams")
+    spectra = answers.groupBy("kind").agg(*[F.sum(F.col("spectrum")[r]).alias(f"n{r}") for r in range(GOOD_TURING + 2)]).collect()
+    model = Model(total, {o: [0] * (GOOD_TURING + 2) for o in range(1, order + 1)} | {r["kind"]: list(r)[1:] for r in spectra})
+
+    def lacking(o: int):
+        def run(row: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+            block = Block(row.iloc[0], order)
+            _, p, asked = model.evaluated(block, found, o - 1)
+            keys, first, totals, owned = asked[o - 1]
+            contexts, of = np.unique(block.contexts[o - 1], return_inverse=True)
+            at, c = first[owned], totals[owned]
+            sums = [np.bincount(of[at], v, len(contexts)) for v in (c, discounted(c, model.d[o]), p[at])]
+            return pd.DataFrame(dealt(row["block"].iloc[0], -o, contexts, sums, parts), columns=["block", "kind", "part", "keys", "amounts"])
+
+        return run
+
+    slim = ["block", "kind", "part", "answer"]
+    for o in range(2, order + 1):
+        asked = blocks.groupBy("block").cogroup(answers.select(slim).groupBy("block")).applyInPandas(lacking(o), ASKED)
+        answers = answers.unionByName(stash(asked.groupBy("kind", "part").applyInPandas(context_totals, ANSWERS), "lm-contexts"))
+
+    def scored(row: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        block = Block(row.iloc[0], order)
+        count, p, _ = model.evaluated(block, found, order)
+        base = np.log10((count + 0.1) / (model.total + 0.1 * (model.types + 1)))
+        sums = [np.add.reduceat(x, block.starts) for x in (count > 0, base, np.log10(p))]
+        return pd.DataFrame({"doc_id": block.ids, "held_out": ~block.train, "n_tokens": block.lengths.astype(np.int64), "n_known": sums[0].astype(np.int64), "train_tokens": model.total, "base_score": sums[1], "score": sums[2]})
+
+    out = blocks.groupBy("block").cogroup(answers.select(slim).groupBy("block")).applyInPandas(scored, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return out.withColumn("doc_id", F.col("doc_id").cast(kind))

@@ -288,7 +288,7 @@ def star(copies):
 @pytest.mark.parametrize("copies", [10, 150])
 def test_near_dedup_of_a_star(spark, copies):
     rows = star(copies)
-    sketch = {i: near_dedup.sketched(near_dedup.labelled(np.array([near_dedup.WordHash()[w] for w in t.split()], np.uint64))) for i, t in rows}
+    sketch = {i: near_dedup.sketched(near_dedup.labelled(np.array([near_dedup.WordHash()[w] for w in t.encode().split()], np.uint64))) for i, t in rows}
     candidates = [i for i, _ in rows if (sketch[i] == sketch[0]).any()]
     cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")))}
     assert len(candidates) > 0.9 * copies and [i for i in candidates if cls[i] != cls[0]] == []
