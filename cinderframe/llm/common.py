@@ -78,6 +78,24 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def fresh_dir(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one, for files that tasks write themselves."""
+    folder = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return folder
+
+
+def opened(path: str, mode: str):
+    """A file of the shared folder: local if it is mounted, else through Arrow's file systems."""
+    if path.startswith("file:") or "://" not in path:
+        return open("/" + path.removeprefix("file:").lstrip("/"), mode + "b")
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner) if mode == "r" else system.open_output_stream(inner)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value evaluated once for each row, however often body's lambdas use it."""
     return F.element_at(F.transform(F.array(value), body), 1)

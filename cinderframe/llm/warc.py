@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderframe.llm.common import discard, shared_dir, stash
+from cinderframe.llm.common import discard, fresh_dir, opened, stash
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -36,16 +36,6 @@ BROADCAST_ROWS = 100_000
 MANIFEST = "path string, records long, bytes long"
 
 
-def opened(path: str, mode: str):
-    """A file of the shared folder: local if it is mounted, else through Arrow's file systems."""
-    if path.startswith("file:") or "://" not in path:
-        return open("/" + path.removeprefix("file:").lstrip("/"), mode + "b")
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner) if mode == "r" else system.open_output_stream(inner)
-
-
 def removed(paths: list[str]) -> None:
     import os
 
@@ -210,10 +200,7 @@ def read(archives: DataFrame) -> DataFrame:
 
 def roundtrip(pages: DataFrame) -> DataFrame:
     """Archives the pages, normalises the archives and reads them back."""
-    spark = pages.sparkSession
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    folder = fresh_dir(pages.sparkSession, "warc")
     raw = write(typed(pages), folder)
     done = normalise(raw, folder)
     # a path for each archive; the raw ones are no longer needed
