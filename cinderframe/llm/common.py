@@ -101,6 +101,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Elements of a run that scanned() folds on its own.
+RUN = 64
+
+
+def scanned(values: Column, op: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """An array's exclusive running folds by the associative op: zero, v0, op(v0, v1), ... without the last one.
+
+    Arrays grow by copying, so runs of RUN elements are folded apart and then put behind each other: time in proportion
+    to n (RUN + n / RUN^2) copies of a number.
+    """
+    grow = lambda a, x: F.concat(a, F.array(op(F.element_at(a, -1), x)))
+    fold = lambda run, start: F.aggregate(run, F.array(start), grow)
+
+    def cut(v: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / RUN), F.lit(0)).cast("int"))
+        return F.transform(places, lambda i: fold(F.slice(v, i * RUN + 1, F.lit(RUN)), zero))
+
+    def joined(parts: Column) -> Column:
+        starts = fold(F.transform(parts, lambda p: F.element_at(p, -1)), zero)
+        shifted = lambda s: F.transform(parts, lambda p, i: F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda x: op(s[i], x)))
+        return F.flatten(let(starts, shifted))
+
+    return let(let(values, cut), joined)
+
+
 def whole_text(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

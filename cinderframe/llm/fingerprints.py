@@ -1,14 +1,21 @@
-"""Document fingerprints from closed syncmers of words.
+"""Document fingerprints from closed syncmers, matched by position.
 
-Words are hashed; a k-mer of K words is chosen if the least of its s-mers of S words is its first or its last one. The
-choice looks at nothing but the k-mer, so equal passages give equal anchors in any document, in text order. A text with
-few words is anchored by its runs of three characters instead; in between, so that a small edit changes little, by both.
+A text is its words cut into units of at most UNIT characters, with K - 1 empty units before and after them. A k-mer of K
+units is an anchor if the least of its s-mers of S units is its first or its last one. The choice looks at nothing but
+the k-mer, so equal passages give equal anchors in any document. One scheme serves texts of any length: the shortest
+text has k-mers that reach into the empty units.
+
+A fingerprint lists the anchors in text order, each with its distance, in units, to the one before. Two fingerprints
+match where two anchors follow each other at the same distance in both; the matched extent is the sum of these distances,
+and likeness is the matched extent as a share of all extent of both. So common anchors that stand apart, or in another
+order, don't count.
 
 with_next() compares each document with the next one by ascending key. Only keys are sorted: a range partition deals
 them out, each partition links its neighbours, and a row for each partition links the partitions. Texts are shuffled
 once, and of each text the prefix that its predecessor asks for once more.
 
-Defined results: a null text is an empty one; a text without words has no anchors; two fingerprints without anchors are alike
+Defined results: a null text is an empty one; a text without words has no anchors, a text whose k-mers all fail the test
+has none either (about one of 30 texts of one unit); two fingerprints without anchors are alike
 (1), one without is unlike any other (0); nulls come first among keys; rows that repeat key and text are one document
 with one neighbour, returned as often as they occur; rows with equal keys and different texts follow each other by a
 hash of the text; a single document is its own next; an empty table gives an empty result; only the key and the text of
@@ -23,45 +30,59 @@ from pyspark.sql import Window as W
 
 from cinderframe.llm.common import let, stash, whole_text, words
 
-K, S = 6, 2
-#: Words from which k-mers count, and from which runs of characters don't.
-SHORT = (12, 24)
+K, S = 8, 2
+#: Characters of a unit at most: words are cut from their start.
+UNIT = 6
+#: An anchor is an int: 4 bits of distance (at most K - S, as each run of so many k-mers has an anchor), 27 bits of hash.
+DISTANCE = 4
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """The fingerprint of a text that isn't null: hashes (int) of its closed syncmers, in text order."""
+    """The fingerprint of a text that isn't null: its closed syncmers in text order, hash and distance in one int."""
     inner = k - s
 
-    def of_words(h: Column) -> Column:
+    def of_units(h: Column) -> Column:
         smers = F.transform(F.slice(h, F.lit(1), F.greatest(F.size(h) - s + 1, F.lit(0))), lambda x, i: F.xxhash64(x, *[F.get(h, i + d) for d in range(1, s)]))
 
         def chosen(m: Column) -> Column:
             least = lambda i: F.least(*[m[i + d] for d in range(inner + 1)])
             edge = lambda i: let(least(i), lambda v: (v == m[i]) | (v == m[i + inner]))
-            places = F.filter(F.sequence(F.lit(0), F.size(h) - k), edge)
-            return F.transform(places, lambda i: F.xxhash64(*[h[i + d] for d in range(k)]).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+            return F.filter(F.sequence(F.lit(0), F.size(h) - k), edge)
 
-        none = F.array().cast("array<int>")
-        found = F.when(F.size(h) >= SHORT[0], let(smers, chosen)).otherwise(none)
-        runs = lambda f: F.when((F.size(h) > 0) & ((F.size(h) < SHORT[1]) | (F.size(f) == 0)), let(F.split(text, ""), trigrams)).otherwise(none)
-        return let(found, lambda f: F.concat(f, runs(f)))
+        def coded(places: Column) -> Column:
+            hashed = lambda i: F.shiftleft(F.xxhash64(*[h[i + d] for d in range(k)]).bitwiseAND(F.lit((1 << 27) - 1)), DISTANCE)
+            return F.transform(places, lambda i, j: hashed(i).bitwiseOR(F.when(j == 0, F.least(i, F.lit((1 << DISTANCE) - 1))).otherwise(i - places[j - 1])).cast("int"))
 
-    def trigrams(c: Column) -> Column:
-        last = F.greatest(F.size(c) - 3, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+        return let(let(smers, chosen), coded)
 
-    return let(F.transform(words(text), lambda x: F.xxhash64(x)), of_words)
+    none = F.array().cast("array<int>")
+    edge = F.array_repeat(F.lit(0).cast("bigint"), k - 1)
+    units = F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), 0)
+    padded = lambda u: F.concat(edge, F.transform(u, lambda x: F.xxhash64(x)), edge)
+    return let(units, lambda u: F.when(F.size(u) > 0, let(padded(u), of_units)).otherwise(none))
 
 
 def as_string(found: Column) -> Column:
-    """Eight hexadecimal digits for each anchor, joined."""
+    """Eight hexadecimal digits for each anchor, joined: 27 bits of hash, 4 of distance."""
     return F.array_join(F.transform(found, lambda x: F.lpad(F.hex(x), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of common ones among the different anchors of both."""
-    both = F.size(F.array_union(a, b))
-    return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both)
+    """The matched extent of two fingerprints as a share of the extent of both."""
+
+    def links(x: Column) -> Column:
+        """An anchor, the one before it, and their distance, as one number whose low bits are the distance."""
+        pair = lambda y, i: F.xxhash64(F.shiftright(y, DISTANCE), F.when(i > 0, F.shiftright(x[i - 1], DISTANCE)).otherwise(F.lit(-1)), y)
+        return F.array_distinct(F.transform(x, lambda y, i: F.shiftleft(pair(y, i), DISTANCE).bitwiseOR(y.bitwiseAND(F.lit((1 << DISTANCE) - 1)).cast("bigint"))))
+
+    # the distance of the first anchor may be 0: each link counts one besides
+    extent = lambda x: F.aggregate(x, F.lit(0).cast("bigint"), lambda t, y: t + y.bitwiseAND(F.lit((1 << DISTANCE) - 1)) + 1)
+
+    def share(p: Column) -> Column:
+        common = extent(F.array_intersect(p["a"], p["b"]))
+        return let(common, lambda c: F.when((F.size(p["a"]) == 0) & (F.size(p["b"]) == 0), F.lit(1.0)).otherwise(c / (extent(p["a"]) + extent(p["b"]) - c)))
+
+    return let(F.struct(links(a).alias("a"), links(b).alias("b")), share)
 
 
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

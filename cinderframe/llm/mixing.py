@@ -5,12 +5,17 @@ quality. Within a source, documents are taken by ascending key until the words t
 the target exceeds the source, complete epochs come first and the sampling fills the rest. The document at the boundary
 is taken if that brings the sum nearer to the target.
 
-Keys are dealt into equal-probability buckets; the sums of buckets, not of documents, are prefix-summed for a source, so
-only the one bucket that holds the boundary is ever sorted. A hot source is cut into as many buckets as its rows ask for.
+No source is sorted. Its keys, as 53-bit numbers that rise with the key's logarithm, are summed by their leading 16 bits;
+prefix sums of these few sums give the digit at which the target is reached, and only the rows of that digit are summed by
+the next 16 bits, and so on, until at most BUCKET_ROWS rows of a source are left to be sorted. Rows whose keys are equal
+go on by a hash of their place in the scan, so not even one row that makes up a third of a table piles up in a task.
+What comes out is a row for each source: the place up to which documents are taken once more. times_taken() applies it
+to documents without any shuffle.
 
 Defined results: a null text has size 0 and is taken 0 times; a null source is a source of its own, the last one; rows
 that repeat key and text tie and are interchangeable; an empty table, or one without words, takes nothing; only the key,
-the text and the source of the input are used, so other columns of any name do no harm.
+the text and the source of the input are used, so other columns of any name do no harm. The step that shares out targets
+holds all sources in one task: a row for each source, not for each document.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from cinderframe.llm.common import stash, uniform, whole_text, words
+from cinderframe.llm.common import discard, stash, uniform, whole_text, words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
@@ -57,48 +62,100 @@ def fill_targets(sources: DataFrame, share: float = 1.0, most: float = float(MOS
     return s.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.col("right") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row for each row of docs."""
+#: Bits of a key's place and of a tie's: places rise with the logarithm of the key, from e^-64 to e^64 in 2^53 steps.
+KEY_BITS, TIE_BITS, DIGIT = 53, 63, 16
+
+
+def place(key: Column) -> Column:
+    """A whole number below 2^53 that rises with a positive key."""
+    return F.least(F.greatest(F.floor((F.log(key) + 64.0) * float(1 << 46)), F.lit(0)), F.lit((1 << KEY_BITS) - 1)).cast("bigint")
+
+
+def keyed(docs: DataFrame, key: str, text: str, source: str, seed: int, *more: Column) -> DataFrame:
+    """doc_id, source, size, place, tie (of equal places: a hash of the row's place in the scan), more."""
     t = whole_text(F.col(text))
     plain = docs.select(
+        *more,
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         F.size(words(t)).cast("bigint").alias("size"),
         F.length(F.regexp_replace(t, "[^#*$%&|<>]+", "")).alias("marks"),
         uniform(F.lit(seed), F.col(key).cast("string"), t).alias("u"),
+        F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 1).alias("tie"),
     )
-    plain = stash(
-        plain.select("doc_id", "source", "size", (-F.log("u") / quality_weight(F.col("size"), F.col("marks"))).alias("key")), "mix"
-    )
-    n = plain.count()
-    buckets = max(1, n // BUCKET_ROWS)
-    plain = plain.withColumn("bucket", F.least(F.lit(buckets - 1), F.floor(F.lit(float(buckets)) * (1.0 - F.exp(-F.col("key"))))).cast("int"))
-    sums = stash(plain.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("rows")), "mix-sums")
-    sources = fill_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0)
-    sources = sources.withColumn("epochs", epochs.cast("bigint")).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "of")
-    before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    cut = (
-        sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-        .join(sources, F.col("source").eqNullSafe(F.col("of")))
-        .where(F.col("before") + F.col("words") >= F.col("rest"))
-        .groupBy(F.col("of").alias("cut_source"))
-        .agg(F.min(F.struct("bucket", "before")).alias("cut"))
-        .select("cut_source", F.col("cut.bucket").alias("cut_bucket"), F.col("cut.before").alias("cut_before"))
-    )
-    plan = stash(
-        sources.join(cut, F.col("of").eqNullSafe(F.col("cut_source")), "left").select(
-            "of", "source_size", "target", "epochs", "rest", "cut_bucket", "cut_before"
-        ),
-        "mix-plan",
-    )
-    small = plan.count() <= BROADCAST_SOURCES
-    placed = plain.join(F.broadcast(plan) if small else plan, F.col("source").eqNullSafe(F.col("of")))
-    edge = F.col("bucket") == F.col("cut_bucket")
-    inner = W.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    whole = placed.where(F.coalesce(~edge, F.lit(True))).withColumn("more", F.coalesce((F.col("bucket") < F.col("cut_bucket")).cast("bigint"), F.lit(1)))
-    split = placed.where(edge).withColumn("sum", F.col("cut_before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    split = split.withColumn("more", (F.col("sum") + F.col("size") / 2 < F.col("rest")).cast("bigint")).drop("sum")
-    return whole.unionByName(split).select(
-        "doc_id", "source", "size", "source_size", "target", ((F.col("epochs") + F.col("more")) * F.col("size")).alias("taken"), F.when(F.col("size") > 0, F.col("epochs") + F.col("more")).otherwise(0).alias("times")
+    return plain.withColumn("place", place(-F.log("u") / quality_weight(F.col("size"), F.col("marks")))).drop("marks", "u")
+
+
+def digits() -> list[tuple[str, int]]:
+    """The columns and shifts by which places, then ties, are cut into digits, leading ones first."""
+    cut = lambda name, bits: [(name, max(0, s)) for s in range(bits - DIGIT, -DIGIT, -DIGIT)]
+    return cut("place", KEY_BITS) + cut("tie", TIE_BITS)
+
+
+def plan(rows: DataFrame) -> DataFrame:
+    """A row for each source of keyed() rows: of (source), source_size, target, epochs, cut (place, tie of the last row taken once more; null: none)."""
+    sums = None
+    open_rows, known = rows, None
+    for name, shift in digits():
+        # the digits above this one are those at which the targets are reached
+        digit = F.shiftright(name, shift).alias("digit")
+        sums = stash(open_rows.groupBy("source", digit).agg(F.sum("size").alias("words"), F.count("*").alias("rows")), "mix-sums")
+        if known is None:
+            sources = fill_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")))
+            epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0)
+            sources = sources.withColumn("epochs", epochs.cast("bigint"))
+            sources = stash(sources.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "of"), "mix-sources")
+            known = sources.select("of", "rest", F.lit(0).cast("bigint").alias("before"))
+        order = W.partitionBy("source").orderBy("digit").rowsBetween(W.unboundedPreceding, -1)
+        reached = (
+            sums.withColumn("sum", F.coalesce(F.sum("words").over(order), F.lit(0)))
+            .join(known, F.col("source").eqNullSafe(F.col("of")))
+            .withColumn("before", F.col("before") + F.col("sum"))
+            .where("words > 0 and before < rest and before + words >= rest")
+            .select("of", "rest", "before", F.col("digit").alias("reached"), "rows")
+        )
+        known = stash(reached, "mix-reached")
+        most = known.agg(F.max("rows")).first()[0] or 0
+        near = known.select("of", F.col("reached"))
+        near = F.broadcast(near) if known.count() <= BROADCAST_SOURCES else near
+        open_rows = open_rows.join(near, F.col("source").eqNullSafe(F.col("of")) & (F.shiftright(name, shift) == F.col("reached"))).select(rows.columns)
+        if most <= BUCKET_ROWS:
+            break
+        open_rows = stash(open_rows, "mix-open")
+    # few rows of each source are left: the one at the boundary is taken if that brings the sum nearer
+    inner = W.partitionBy("source").orderBy("place", "tie").rowsBetween(W.unboundedPreceding, -1)
+    last = (
+        open_rows.join(known, F.col("source").eqNullSafe(F.col("of")))
+        .withColumn("sum", F.col("before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
+        .groupBy(F.col("of").alias("cut_of"))
+        .agg(F.max(F.when(F.col("sum") + F.col("size") / 2 < F.col("rest"), F.struct("place", "tie"))).alias("cut"), F.min(F.struct("place", "tie")).alias("low"))
+        # none of them: up to the row before the least one
+        .select("cut_of", F.coalesce("cut", F.struct(F.col("low.place").alias("place"), (F.col("low.tie") - 1).alias("tie"))).alias("cut"))
     )
+    return stash(sources.join(last, F.col("of").eqNullSafe(F.col("cut_of")), "left").select("of", "source_size", "target", "epochs", "cut"), "mix-plan")
+
+
+def placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """keyed() rows with their source's plan and times, how often each is taken."""
+    small = found.count() <= BROADCAST_SOURCES
+    once_more = F.coalesce((F.struct("place", "tie") <= F.col("cut")).cast("bigint"), F.lit(0))
+    joined = rows.join(F.broadcast(found) if small else found, F.col("source").eqNullSafe(F.col("of")))
+    return joined.withColumn("times", F.when(F.col("size") > 0, F.col("epochs") + once_more).otherwise(0))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, times: one row for each row of docs."""
+    rows = stash(keyed(docs, key, text, source, seed), "mix")
+    return placed(rows, plan(rows)).select("doc_id", "source", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "times")
+
+
+def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0) -> DataFrame:
+    """docs, with all their columns, each row as often as the mix takes it; texts aren't shuffled.
+
+    The rows' keys are computed twice, once for the plan and once beside the rows; docs must be a table that scans alike.
+    """
+    rows = stash(keyed(docs, key, text, source, seed), "mix")
+    found = plan(rows)
+    discard(rows)
+    beside = keyed(docs, key, text, source, seed, F.struct(*docs.columns).alias("row"))
+    return placed(beside, found).where("times > 0").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")

@@ -1,7 +1,9 @@
 """Personal data: regular expressions propose spans, checksums confirm them, context words adjust their score.
 
 Base kinds (email, ip, card, phone) stay whenever their pattern and their check hold. Further kinds (iban, ssn, secret)
-start from a prior score that nearby words raise; an iban must also pass mod-97. Spans are in code points, end exclusive.
+start from a prior score that nearby words, before or after a span up to the next one of its kind, raise; an iban must
+also pass mod-97, and one of a country without a registered length needs such words. Spans are in code points, end
+exclusive. Time is in proportion to a text's length and its number of spans.
 
 Patterns are written so that no text makes them slow: a run of characters is entered at its start only, and repeated
 groups are possessive, which changes no match (what follows a run can't be part of it) and needs no stack.
@@ -19,7 +21,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinderframe.llm.common import let, whole_text
+from cinderframe.llm.common import let, scanned, whole_text
 
 SPAN = "array<struct<start:int,kind:int,end:int,score:double>>"
 THRESHOLD = 0.5
@@ -33,8 +35,8 @@ class Kind(NamedTuple):
     #: A cheap test that the text may hold a match.
     gate: Callable[[Column], Column]
     check: Callable[[Column], Column]
-    #: Score without context, score that context words add, and the words.
-    prior: float
+    #: Score without context (of a match), score that context words add, and the words.
+    prior: Callable[[Column], Column]
     lift: float
     context: str
     #: Base spans stay whatever their score.
@@ -83,43 +85,52 @@ GROUPS = {n: "|".join(c.split()) for n, c in IBAN_LENGTHS.items()}
 #: As long as its country says, so that words after it are left alone; other countries' as long as it goes.
 IBAN = "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in GROUPS.items()) + rf"|(?!{'|'.join(GROUPS.values())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}"
 
+#: Countries of registered length.
+REGISTERED = "|".join(GROUPS.values())
+
+
+def always(score: float) -> Callable[[Column], Column]:
+    return lambda m: F.lit(score)
+
+
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 YES = lambda m: F.lit(True)
 HAS_DIGIT = lambda t: t.rlike("[0-9]")
 
 KINDS = [
-    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda t: F.contains(t, F.lit("@")), YES, 0.9, 0.1, "mail|contact|write", True),
-    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}+", HAS_DIGIT, lambda m: m.rlike(rf"^(?:{PART}\.){{3}}{PART}$"), 0.6, 0.3, "ip|address|host|server", True),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", HAS_DIGIT, luhn, 0.8, 0.2, "card|visa|credit|payment", True),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: F.contains(t, F.lit("+")), lambda m: F.length(digits(m)).between(9, 15), 0.7, 0.3, "phone|call|tel|mobile", True),
-    Kind("iban", rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])", lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), mod97, 0.7, 0.3, "iban|account|bank", False),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", HAS_DIGIT, YES, 0.3, 0.5, "ssn|social|security", False),
-    Kind("secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}(?![A-Za-z0-9])", HAS_DIGIT, YES, 0.2, 0.6, "token|secret|key|password|passwd", False),
+    Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", lambda t: F.contains(t, F.lit("@")), YES, always(0.9), 0.1, "mail|contact|write", True),
+    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}+", HAS_DIGIT, lambda m: m.rlike(rf"^(?:{PART}\.){{3}}{PART}$"), always(0.6), 0.3, "ip|address|host|server", True),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", HAS_DIGIT, luhn, always(0.8), 0.2, "card|visa|credit|payment", True),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: F.contains(t, F.lit("+")), lambda m: F.length(digits(m)).between(9, 15), always(0.7), 0.3, "phone|call|tel|mobile", True),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{IBAN})(?![A-Za-z0-9])", lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), mod97, lambda m: F.when(m.rlike(rf"^(?:{REGISTERED})"), 0.7).otherwise(0.3), 0.3, "iban|account|bank", False),
+    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", HAS_DIGIT, YES, always(0.3), 0.5, "ssn|social|security", False),
+    Kind("secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}(?![A-Za-z0-9])", HAS_DIGIT, YES, always(0.2), 0.6, "token|secret|key|password|passwd", False),
 ]
 
 
 def spans_of(text: Column, k: int) -> Column:
-    """The spans of kind k, in order: what split() leaves between the matches gives their places."""
+    """The spans of kind k, in order: what split() leaves between the matches gives their places and contexts."""
     kind = KINDS[k]
 
     def located(b: Column) -> Column:
-        measured = F.transform(b["m"], lambda m, i: F.struct(m.alias("m"), F.length(b["p"][i]).alias("gap"), F.length(m).alias("n")))
+        # a match and the gap before it; the gaps' and matches' lengths add up to places
+        steps = F.transform(b["m"], lambda m, i: F.length(b["p"][i]) + F.length(m))
 
-        def score(start: Column, end: Column) -> Column:
-            before = F.substring(b["t"], F.greatest(start - CONTEXT + 1, F.lit(1)), F.least(start, F.lit(CONTEXT)))
-            near = F.lower(F.concat_ws("\n", before, F.substring(b["t"], end + 1, F.lit(CONTEXT))))
-            return F.lit(kind.prior) + F.when(near.rlike(rf"\b(?:{kind.context})"), F.lit(kind.lift)).otherwise(F.lit(0.0))
+        def placed(at: Column) -> Column:
+            def span(m: Column, i: Column) -> Column:
+                start = (at[i] + F.length(b["p"][i])).cast("int")
+                near = F.lower(F.concat_ws("\n", F.right(b["p"][i], F.lit(CONTEXT)), F.left(b["p"][i + 1], F.lit(CONTEXT))))
+                score = kind.prior(m) + F.when(near.rlike(rf"\b(?:{kind.context})"), F.lit(kind.lift)).otherwise(F.lit(0.0))
+                return F.struct(start.alias("start"), F.lit(k).alias("kind"), (start + F.length(m)).alias("end"), F.when(kind.check(m), score).alias("score"))
 
-        def step(a: Column, x: Column) -> Column:
-            start = a["at"] + x["gap"]
-            found = F.array(F.struct(start.alias("start"), F.lit(k).alias("kind"), (start + x["n"]).alias("end"), score(start, start + x["n"]).alias("score"))).cast(SPAN)
-            return F.struct((start + x["n"]).alias("at"), F.when(kind.check(x["m"]), F.concat(a["out"], found)).otherwise(a["out"]).alias("out"))
+            return F.transform(b["m"], span)
 
-        found = F.aggregate(measured, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), step, lambda a: a["out"])
-        return found if kind.base else F.filter(found, lambda s: s["score"] >= THRESHOLD)
+        least = 0.0 if kind.base else THRESHOLD
+        return F.filter(let(scanned(steps, lambda a, x: a + x, F.lit(0)), placed), lambda s: F.coalesce(s["score"] >= least, F.lit(False)))
 
-    both = F.struct(text.alias("t"), F.split(text, kind.pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(kind.pattern), 0).alias("m"))
-    return F.when(kind.gate(text), let(both, located)).otherwise(F.array().cast(SPAN))
+    both = F.struct(F.split(text, kind.pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(kind.pattern), 0).alias("m"))
+    found = let(both, lambda b: F.when(F.size(b["m"]) > 0, located(b)).otherwise(F.array().cast(SPAN)))
+    return F.when(kind.gate(text), found.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
 def all_spans(text: Column) -> Column:
@@ -139,7 +150,7 @@ def joined(spans: Column) -> Column:
 
 
 def report(found: DataFrame) -> DataFrame:
-    """find()'s rows as counts of the base kinds, the digest of the base spans, and all spans as one string."""
+    """find()'s rows as counts of the base kinds, the digest of the base spans, all spans as one string, and their scores."""
     base = [i for i, k in enumerate(KINDS) if k.base]
     count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("bigint").alias(f"n_{KINDS[i].name}")
     return found.select(
@@ -147,26 +158,30 @@ def report(found: DataFrame) -> DataFrame:
         *[count(i) for i in base],
         F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
+        F.transform("spans", lambda s: F.round(s["score"], 2)).alias("scores"),
     )
 
 
+#: Spans from which a text is cut as an array of characters: substrings are found by counting from its start.
+MANY = 32
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by its first kind in brackets."""
     names = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
-    part = lambda a, b: F.substring(text, a + 1, b - a)
-
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        more = F.array(part(a["at"], s["start"]), names[s["kind"]])
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(fresh, F.concat(a["out"], more)).otherwise(a["out"]).alias("out"))
-
-    whole = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        step,
-        lambda a: F.concat(F.array_join(a["out"], ""), part(a["at"], F.length(text))),
-    )
-    return F.when(F.size(spans) == 0, text).otherwise(whole)
+
+    def cut(part: Callable[[Column, Column], Column], length: Column) -> Column:
+        def joined_up(done: Column) -> Column:
+            # done[i]: the furthest end of the spans before i
+            pieces = F.transform(spans, lambda s, i: F.when(s["start"] >= done[i], F.concat(part(done[i], s["start"]), names[s["kind"]])).otherwise(F.lit("")))
+            last = F.greatest(F.element_at(done, -1), F.element_at(spans, -1)["end"])
+            return F.concat(F.array_join(pieces, ""), part(last, length))
+
+        return let(scanned(F.transform(spans, lambda s: s["end"]), lambda a, x: F.greatest(a, x), F.lit(0)), joined_up)
+
+    few = cut(lambda a, b: F.substring(text, a + 1, b - a), F.length(text))
+    many = let(F.split(text, ""), lambda c: cut(lambda a, b: F.array_join(F.slice(c, a + 1, b - a), ""), F.length(text)))
+    return F.when(F.size(spans) == 0, text).when(F.size(spans) <= MANY, few).otherwise(many)
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:

@@ -4,7 +4,8 @@ Two logistic heads on hashed words and a few shape features, quality and toxicit
 They are fitted on a bounded sample of labelled rows (at most TRAINING_ROWS). The quality evidence of all documents is
 then summed by host and by path within the host; each host's rate is shrunk toward the global one, each path's toward
 its host's, by a strength that the spread between groups decides (method of moments). A document's log odds are its own
-plus those of its path against the global rate. Sites are groups of columns: host and path are parameters.
+plus those of its path against the global rate; the path's and the host's rates are those of their other documents, so a
+document's evidence counts once. Sites are groups of columns: host and path are parameters.
 
 Defined results: a null text is an empty one, with the evidence of the intercept; null hosts and paths are groups of
 their own; labels without a document, and null labels, are ignored; without labels of both kinds a head says the rate it
@@ -19,13 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from cinderframe.llm.common import stash, whole_text
+from cinderframe.llm.common import split_words, stash, whole_text
 
-#: Labelled rows at most that the heads are fitted on.
-TRAINING_ROWS = 12_000
+#: Labelled rows at most that the heads are fitted on, and characters of their texts together; whole texts, by a hash of their key.
+TRAINING_ROWS, TRAINING_CHARS = 12_000, 150_000_000
 BINS = 1 << 16
 TELLING = 5.0
 DENSE = 7
@@ -44,7 +46,7 @@ class Bins(dict):
 
 def features(text: str, bins: Bins) -> tuple[np.ndarray, np.ndarray]:
     """The bins of the text's words, each once, and its shape."""
-    found = text.split()
+    found = [w.decode() for w in split_words(text)]
     n, c = max(1, len(found)), max(1, len(text))
     marks = len(text) - len(text.translate(MARKS))
     capitals = sum(map(str.isupper, found)) / n
@@ -88,7 +90,12 @@ def training(docs: DataFrame, labels: DataFrame, key: str, text: str, rows: int)
     """Features and labels (quality, toxic) of at most `rows` labelled documents, chosen by a hash of their key."""
     chosen = labels.where("quality is not null and toxic is not null").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(rows)
-    picked = docs.select(F.col(key).alias("id"), whole_text(F.col(text)).alias("text")).join(F.broadcast(chosen), "id").select("text", "quality", "toxic")
+    picked = docs.select(F.col(key).alias("id"), whole_text(F.col(text)).alias("text")).join(F.broadcast(chosen), "id").select("id", "text", "quality", "toxic")
+    # at most `rows` lengths, in one task
+    before = W.orderBy(F.xxhash64("id"), "id", "h").rowsBetween(W.unboundedPreceding, 0)
+    lengths = picked.select("id", F.xxhash64("text").alias("h"), F.length("text").alias("chars")).orderBy(F.xxhash64("id"), "id", "h").limit(rows)
+    fits = lengths.withColumn("sum", F.sum("chars").over(before)).where(F.col("sum") <= TRAINING_CHARS).select("id", "h").distinct()
+    picked = picked.withColumn("h", F.xxhash64("text")).join(F.broadcast(fits), ["id", "h"], "left_semi").select("text", "quality", "toxic")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bins = Bins()
@@ -122,24 +129,32 @@ def logit(p):
     return F.log(p / (1 - p))
 
 
+def strength(groups: DataFrame, above: str) -> DataFrame:
+    """Prior observations by the method of moments: what spread is left after sampling noise. One row."""
+    rate, p = F.col("good") / F.col("n"), F.col(above)
+    spread = F.sum(F.col("n") * (rate - p) ** 2) / F.sum("n")
+    noise = F.sum(p * (1 - p)) / F.sum("n")
+    m = F.coalesce(F.avg(p * (1 - p)) / F.greatest(spread - noise, F.lit(1e-9)), F.lit(1.0))
+    return groups.agg(F.least(F.greatest(m, F.lit(STRENGTHS[0])), F.lit(STRENGTHS[1])).alias("m"))
+
+
 def posteriors(sums: DataFrame) -> DataFrame:
-    """sums(host, path, n, good) with global_rate, host_rate, path_rate: rates shrunk toward the level above.
+    """sums(host, path, n, good) with the host's sums (host_n, host_good), global_rate, and the strengths host_m and path_m.
 
-    A row for each path is all that this step holds; the levels' strengths come from sums over groups.
+    A row for each path is all that this step holds; the levels' strengths come from sums over groups, one row each.
     """
     total = F.broadcast(sums.agg(((F.sum("good") + 0.5) / (F.sum("n") + 1)).alias("global_rate")))
+    hosts = sums.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).crossJoin(total)
+    hosts = hosts.crossJoin(F.broadcast(strength(hosts, "global_rate").withColumnRenamed("m", "host_m")))
+    hosts = hosts.select(F.col("host").alias("of"), "global_rate", "host_m", F.col("n").alias("host_n"), F.col("good").alias("host_good"))
+    paths = sums.join(hosts, F.col("host").eqNullSafe(F.col("of"))).withColumn("host_rate", shrunk("host_good", "host_n", "host_m", F.col("global_rate")))
+    return paths.crossJoin(F.broadcast(strength(paths, "host_rate").withColumnRenamed("m", "path_m"))).drop("of", "host_rate")
 
-    def strength(groups: DataFrame, above: str) -> DataFrame:
-        """Prior observations by the method of moments: what spread is left after sampling noise."""
-        rate, p = F.col("good") / F.col("n"), F.col(above)
-        spread = F.sum(F.col("n") * (rate - p) ** 2) / F.sum("n")
-        noise = F.sum(p * (1 - p)) / F.sum("n")
-        return F.broadcast(groups.agg(F.least(F.greatest(F.coalesce(F.avg(p * (1 - p)) / F.greatest(spread - noise, F.lit(1e-9)), F.lit(1.0)), F.lit(STRENGTHS[0])), F.lit(STRENGTHS[1])).alias("m")))
 
-    hosts = sums.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).crossJoin(total)
-    hosts = hosts.crossJoin(strength(hosts, "global_rate")).select(F.col("host").alias("of"), "global_rate", ((F.col("good") + F.col("m") * F.col("global_rate")) / (F.col("n") + F.col("m"))).alias("host_rate"))
-    paths = sums.join(hosts, F.col("host").eqNullSafe(F.col("of")))
-    return paths.crossJoin(strength(paths, "host_rate")).select("host", "path", "global_rate", "host_rate", ((F.col("good") + F.col("m") * F.col("host_rate")) / (F.col("n") + F.col("m"))).alias("path_rate"))
+def shrunk(good: str, n: str, m: str, above: Column, without: Column | None = None) -> Column:
+    """A group's rate, shrunk toward the one above by m observations; without one document's evidence, if given."""
+    one, it = (F.lit(0), F.lit(0.0)) if without is None else (F.lit(1), without)
+    return (F.greatest(F.col(good) - it, F.lit(0.0)) + F.col(m) * above) / (F.col(n) - one + F.col(m))
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", path: str = "lang", rows: int = TRAINING_ROWS) -> DataFrame:
@@ -148,8 +163,10 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     slim = stash(evidence(docs, fit(bags, shapes, y[:, 0]), fit(bags, shapes, y[:, 1]), key, text, host, path), "evidence")
     p = 1 / (1 + F.exp(-F.col("own")))
     sums = stash(slim.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("good")), "sites")
-    rates = posteriors(sums).select(F.col("host").alias("h"), F.col("path").alias("p"), "global_rate", "host_rate", "path_rate")
-    joined = slim.join(F.broadcast(rates) if sums.count() <= BROADCAST_PATHS else rates, F.expr("host <=> h and path <=> p"))
+    sites = posteriors(sums).withColumnsRenamed({"host": "h", "path": "p"})
+    joined = slim.join(F.broadcast(sites) if sums.count() <= BROADCAST_PATHS else sites, F.expr("host <=> h and path <=> p"))
+    joined = joined.withColumn("host_rate", shrunk("host_good", "host_n", "host_m", F.col("global_rate"), p))
+    joined = joined.withColumn("path_rate", shrunk("good", "n", "path_m", F.col("host_rate"), p))
     z = F.col("own") + logit(F.col("path_rate")) - logit(F.col("global_rate"))
     out = joined.select("doc_id", "own", "path_rate", "host_rate", (1 / (1 + F.exp(-z))).alias("quality"), (1 / (1 + F.exp(-F.col("toxic")))).alias("toxic"))
     return out.withColumn("kept", (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5))

@@ -1,8 +1,11 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule has a predicate that rejects a document. On a bounded sample the cost (seconds) and the selectivity (share
-rejected) of each rule are estimated; the rules then run in order of rejection per cost, and a document leaves the
-cascade at the first rule that rejects it. The order changes the work, never the verdict.
+Each rule has a predicate that rejects a document, and says how many characters it looks at in one. On a bounded sample,
+rows of least hash of the whole table, the cost (characters looked at) and the selectivity (share rejected) of each rule
+are estimated; the rules then run in order of rejection per cost, and a document leaves the cascade at the first rule
+that rejects it. The estimates are counts, not times, so reruns choose the same order. The order changes the work, never
+the verdict. The base tests are rules of the cascade like others where only the verdict is asked for (keep_good());
+where their counts are columns of the result (judge()), all counts are computed once and the rules compare them.
 
 Defined results: a null text counts as empty; an empty text has no words and fails the base; texts are taken whole, of
 any length; repeated rows give repeated results; an empty table gives an empty result; only the key and the text of the
@@ -11,21 +14,24 @@ input are used, so other columns of any name do no harm. A null key is returned
 
 from __future__ import annotations
 
-import time
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinderframe.llm.common import SPACE_CHARS, discard, let, stash, whole_text, words
+from cinderframe.llm.common import SPACE_CHARS, let, whole_text, words
 
 #: Rows at most of the sample that estimates cost and selectivity; it only orders the rules.
 SAMPLE_ROWS = 256
 
 
 class Rule(NamedTuple):
+    """A predicate on a document (see measures()), and how many characters it looks at."""
+
     name: str
-    rejects: Column
+    rejects: Callable[[dict[str, Column]], Column]
+    work: Callable[[dict[str, Column]], Column]
 
 
 #: Windows that fit the packed form: a position takes the low bits of a long, a hash the rest.
@@ -76,86 +82,94 @@ def line_counts(text: Column, body) -> Column:
     return let(F.struct(lines.alias("l")), lambda b: body(F.size(b["l"]), F.size(F.array_distinct(b["l"]))))
 
 
-def count_dup_lines(text: Column) -> Column:
-    return line_counts(text, lambda all_lines, distinct: (all_lines - distinct).cast("bigint"))
-
-
 def symbols(text: Column) -> Column:
     return F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("bigint")
 
 
+def measures(text: Column, w: Column) -> dict[str, Column]:
+    """What rules look at, of a text that isn't null and its words; each is computed where a rule uses it."""
+    stripped = lambda outside: F.length(F.regexp_replace(text, outside, "")).cast("bigint")
+    return {
+        "n_chars": F.length(text),
+        "n_words": F.size(w).cast("bigint"),
+        "word_chars": F.aggregate(w, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)),
+        "n_symbols": symbols(text),
+        "n_capitals": stripped("[^A-Z]+"),
+        "n_exclaiming": stripped("[^!?]+"),
+        "lines": line_counts(text, lambda every, distinct: F.struct(every.cast("bigint").alias("all"), (every - distinct).cast("bigint").alias("dup"))),
+        "n_repeat_words": count_repeat_words(w),
+    }
+
+
+#: Characters that a word of count_repeat_words() counts as: three hashes and a sort.
+REPEAT_WORK = 100
+
+
+def base_rules() -> list[Rule]:
+    n, nothing = lambda m: m["n_words"], lambda m: F.lit(1)
+    return [
+        Rule("few_words", lambda m: n(m) < 50, nothing),
+        Rule("repeated_words", lambda m: 100 * m["n_repeat_words"] > 50 * n(m), lambda m: n(m) * REPEAT_WORK),
+    ]
+
+
 def default_rules() -> list[Rule]:
-    """Rules beyond the base, on the columns text, n_words and word_chars."""
-    t, n = F.col("text"), F.col("n_words")
-    stripped = lambda outside: F.length(F.regexp_replace(t, outside, ""))
+    """Rules beyond the base."""
+    n, whole = lambda m: m["n_words"], lambda m: m["n_chars"]
     return [
-        Rule("symbols", symbols(t) > 0.2 * n),
-        Rule("shouting", stripped("[^A-Z]+") > 0.4 * F.col("word_chars")),
-        Rule("exclaiming", stripped("[^!?]+") > 0.3 * n),
-        Rule("long_words", F.col("word_chars") > 20 * n),
-        Rule("repeated_lines", line_counts(t, lambda all_lines, distinct: all_lines - distinct > 0.5 * all_lines)),
+        Rule("symbols", lambda m: m["n_symbols"] > 0.2 * n(m), whole),
+        Rule("shouting", lambda m: m["n_capitals"] > 0.4 * m["word_chars"], lambda m: 2 * whole(m)),
+        Rule("exclaiming", lambda m: m["n_exclaiming"] > 0.3 * n(m), whole),
+        Rule("long_words", lambda m: m["word_chars"] > 20 * n(m), whole),
+        Rule("repeated_lines", lambda m: let(m["lines"], lambda x: x["dup"] > 0.5 * x["all"]), lambda m: 3 * whole(m)),
     ]
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejection per cost on a sample of at most `rows` rows of docs, which has the rules' columns."""
-    sample = stash(docs.sample(0.5, seed=17).limit(rows), "rule-sample")
-    timed = []
-    sample.agg(F.count("*")).collect()
-    for rule in rules:
-        began = time.perf_counter()
-        n, hit = sample.agg(F.count("*"), F.count_if(rule.rejects)).first()
-        timed.append(((hit + 0.5) / (n + 1) / max(time.perf_counter() - began, 1e-3), rule))
-    discard(sample)
-    return [rule for _, rule in sorted(timed, key=lambda x: -x[0])]
-
-
-def cascade(rules: list[Rule]) -> Column:
+    """The rules by rejection per cost on the `rows` rows of docs(key, text) of least hash; ties in the order given."""
+    h = F.xxhash64("key", "text")
+    sample = docs.select("text", h.alias("h")).orderBy("h").limit(rows).select("text", words(F.col("text")).alias("w"))
+    m = measures(F.col("text"), F.col("w"))
+    found = sample.agg(F.count("*"), *[f(c) for r in rules for f, c in ((F.count_if, r.rejects(m)), (F.sum, r.work(m)))]).first()
+    n = found[0]
+    value = lambda i: (found[1 + 2 * i] + 0.5) / (n + 1) / max(1.0, (found[2 + 2 * i] or 0) / max(1, n))
+    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: -value(i))]
+
+
+def cascade(rules: list[Rule], m: dict[str, Column]) -> Column:
     """True for rows that no rule rejects; a later rule isn't evaluated once one rejects. A null predicate doesn't reject."""
     kept = F.lit(True)
     for rule in reversed(rules):
-        kept = F.when(F.coalesce(rule.rejects, F.lit(False)), F.lit(False)).otherwise(kept)
+        kept = F.when(F.coalesce(rule.rejects(m), F.lit(False)), F.lit(False)).otherwise(kept)
     return kept
 
 
-def from_words(w: Column) -> Column:
-    """What the words of a text give: n_words, word_chars, n_repeat_words."""
-    chars = F.aggregate(w, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x))
-    return F.struct(F.size(w).cast("bigint").alias("n_words"), chars.alias("word_chars"), count_repeat_words(w).alias("n_repeat_words"))
-
-
-def counted(docs: DataFrame, text: str) -> DataFrame:
-    """docs with text (null: empty) in its place and the columns of from_words(); for frames whose names can't clash."""
-    return (
-        docs.withColumn("text", whole_text(F.col(text)))
-        .withColumn("__c", let(F.struct(words(F.col("text")).alias("w")), lambda b: from_words(b["w"])))
-        .select("*", "__c.*")
-        .drop("__c")
-        .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    )
-
-
-def ordered_rules(docs: DataFrame, text: str) -> list[Rule]:
-    return order_rules(counted(docs.select(F.col(text).alias("text")), "text"), default_rules())
+def sampled(docs: DataFrame, key: str, text: str, rules: list[Rule]) -> list[Rule]:
+    return order_rules(docs.select(F.col(key).alias("key"), whole_text(F.col(text)).alias("text")), rules)
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, the base counts, base_failed and kept."""
-    t = F.col("text")
-    return counted(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text").select(
+    rules = sampled(docs, key, text, default_rules())
+    plain = docs.select(F.col(key).alias("doc_id"), whole_text(F.col(text)).alias("text"))
+    counted = plain.select("doc_id", let(words(F.col("text")), lambda w: F.struct(*[c.alias(k) for k, c in measures(F.col("text"), w).items()])).alias("m"))
+    m = {k: F.col(f"m.{k}") for k in measures(F.lit(""), F.array())}
+    failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+    return counted.select(
         "doc_id",
-        "n_words",
-        "word_chars",
-        symbols(t).alias("n_symbols"),
-        count_dup_lines(t).alias("n_dup_lines"),
-        "n_repeat_words",
-        "base_failed",
-        (~F.col("base_failed") & cascade(ordered_rules(docs, text))).alias("kept"),
+        "m.n_words",
+        "m.word_chars",
+        "m.n_symbols",
+        F.col("m.lines.dup").alias("n_dup_lines"),
+        "m.n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & cascade(rules, m)).alias("kept"),
     )
 
 
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, that neither the base nor a rule rejects."""
-    renamed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    kept = counted(renamed, "text").where(~F.col("base_failed") & cascade(ordered_rules(docs, text)))
-    return kept.select("row.*")
+    rules = sampled(docs, key, text, base_rules() + default_rules())
+    t = whole_text(F.col("text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    return rows.where(let(F.struct(t.alias("t"), words(t).alias("w")), lambda b: cascade(rules, measures(b["t"], b["w"])))).select("row.*")

@@ -1,6 +1,6 @@
 """Web archives: writing, normalising and reading.
 
-write() makes one archive of each partition, as a single gzip stream. normalise() inflates each such stream once, in
+write() makes one archive of each partition, a warcinfo record first, as a single gzip stream. normalise() inflates each such stream once, in
 bounded pieces, rewrites every record as a gzip member of its own and writes a sidecar index (one JSON line for each
 record: offset, length, id, type). read() fetches records by that index.
 
@@ -49,19 +49,34 @@ def removed(paths: list[str]) -> None:
             system.delete_file(inner)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha1_hex: str, refers_to: int | None, revisit: bool) -> bytes:
+def record(record_id: str, page_id: int | None, url: str | None, payload: bytes, sha1_hex: str, refers_to: int | None, revisit: bool) -> bytes:
+    """A record of a page. The page's id, which may repeat or be missing, has a header of its own beside the record's."""
     digest = "sha1:" + base64.b32encode(bytes.fromhex(sha1_hex)).decode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     body = http if revisit else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{record_id}>", f"WARC-Date: {DATE}"]
+    if page_id is not None:
+        head.append(f"X-Page-ID: {page_id}")
     if url is not None:
         head.append("WARC-Target-URI: " + quote(url, safe="%/:=&?~#+!$,;'@()*[]"))
     if revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += [f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
     head += [f"WARC-Payload-Digest: {digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
+def numbered(archive: str, n: int) -> str:
+    """The id of an archive's n-th record: no two records share one."""
+    return uuid.uuid5(uuid.NAMESPACE_URL, f"{archive}#{n}").urn
+
+
+def info(archive: str) -> bytes:
+    """The record that opens an archive."""
+    body = b"software: cinderframe\r\nformat: WARC File Format 1.1\r\n"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <{numbered(archive, 0)}>", f"WARC-Date: {DATE}", "Content-Type: application/warc-fields", f"Content-Length: {len(body)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
 def headers(block: bytes) -> dict[str, str]:
     lines = block.decode("utf-8", "replace").split("\r\n")[1:]
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines) if k.strip()}
@@ -126,8 +141,10 @@ def write(rows: DataFrame, folder: str, level: int = 1) -> DataFrame:
         path, file, work, n, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", None, zlib.compressobj(level, zlib.DEFLATED, 31), 0, 0
         for batch in batches:
             for page_id, url, payload, sha1, refers_to, revisit in zip(*(batch[c] for c in ("page_id", "url", "payload", "sha1", "refers_to", "revisit")), strict=True):
-                file = file or opened(path, "w")
-                data = record(None if pd.isna(page_id) else int(page_id), url, payload, sha1, None if pd.isna(refers_to) else int(refers_to), revisit)
+                if file is None:
+                    file = opened(path, "w")
+                    size += file.write(work.compress(info(path))) or 0
+                data = record(numbered(path, n + 1), None if pd.isna(page_id) else int(page_id), url, payload, sha1, None if pd.isna(refers_to) else int(refers_to), revisit)
                 size += file.write(work.compress(data)) or 0
                 n += 1
         if file:
@@ -166,9 +183,6 @@ def read(archives: DataFrame) -> DataFrame:
     A revisit has no payload; its size and digest are those that its headers state. A response's are recomputed.
     """
 
-    def page(value: str | None) -> str | None:
-        return (value or "").removeprefix("<urn:page:").removesuffix(">") or None
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
@@ -178,6 +192,8 @@ def read(archives: DataFrame) -> DataFrame:
                 with opened(path, "r") as file, opened(path + ".idx", "r") as index:
                     for line in index.read().splitlines():
                         entry = json.loads(line)
+                        if entry["type"] == "warcinfo":
+                            continue
                         file.seek(entry["offset"])
                         head, _, body = zlib.decompress(file.read(entry["length"]), 31).partition(b"\r\n\r\n")
                         named = headers(head)
@@ -185,7 +201,7 @@ def read(archives: DataFrame) -> DataFrame:
                         digest, size, revisit = named["warc-payload-digest"].removeprefix("sha1:"), int(headers(http)["content-length"]), named["warc-type"] == "revisit"
                         if not revisit and (len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
                             raise ValueError(f"{path}: {entry} doesn't hold the payload that its headers state")
-                        out.append((page(named["warc-record-id"]), named.get("warc-target-uri"), None if revisit else payload, size, digest, named["warc-type"], page(named.get("warc-refers-to"))))
+                        out.append((named.get("x-page-id"), named.get("warc-target-uri"), None if revisit else payload, size, digest, named["warc-type"], named.get("x-refers-to-page-id")))
                         held += len(payload)
                         if held > 16 * BLOCK or len(out) >= 10_000:
                             yield pd.DataFrame(out, columns=names)

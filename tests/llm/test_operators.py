@@ -128,48 +128,128 @@ def test_fingerprints(docs):
         x = texts[a]
         edited = x[: len(x) - len(x) // 4] + texts[b][: len(x) // 4]
         assert rows[a]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and rows[a]["n_chars"] == len(x)
-        if x != texts[b]:
+        if x != texts[b] and len(x) > 12:
             assert rows[a]["near_edited"] > rows[a]["near_next"]
     assert fingerprints.with_next(docs).count() == docs.count()
 
 
-def test_syncmers_by_brute_force(spark):
-    words = [f"w{(i * 7919) % 31}" for i in range(200)]
-    hashes = [r[0] for r in spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string").orderBy("i").select(F.xxhash64("w")).collect()]
-    pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(itertools.pairwise(hashes))], "i int, a long, b long").orderBy("i").select(F.xxhash64("a", "b")).collect()
-    s, inner = [r[0] for r in pairs], fingerprints.K - fingerprints.S
-    chosen = sum(min(s[i : i + inner + 1]) in (s[i], s[i + inner]) for i in range(len(words) - fingerprints.K + 1))
-    got = spark.createDataFrame([(" ".join(words),)], "t string").select(fingerprints.anchors(F.col("t"))).first()[0]
-    assert len(got) == chosen
+def hashed(spark, values, *types):
+    """xxhash64 of each of the values, as the operators have it."""
+    rows = spark.createDataFrame([(i, *(v if isinstance(v, tuple) else (v,))) for i, v in enumerate(values)], "i int, " + ", ".join(f"c{j} {t}" for j, t in enumerate(types))).orderBy("i")
+    return [r[0] for r in rows.select(F.xxhash64(*[f"c{j}" for j in range(len(types))])).collect()]
 
 
-def test_language_model(docs):
+def brute_fingerprint(spark, text):
+    k, s = fingerprints.K, fingerprints.S
+    units = [w[i : i + fingerprints.UNIT] for w in WORD.findall(text) for i in range(0, len(w), fingerprints.UNIT)]
+    h = [0] * (k - 1) + hashed(spark, units, "string") + [0] * (k - 1)
+    smers = hashed(spark, list(itertools.pairwise(h)), "long", "long")
+    places = [i for i in range(len(h) - k + 1) if min(smers[i : i + k - s + 1]) in (smers[i], smers[i + k - s])]
+    codes = hashed(spark, [tuple(h[i : i + k]) for i in places], *["long"] * k)
+    return [(c & (1 << 27) - 1, i - (places[j - 1] if j else 0)) for j, (c, i) in enumerate(zip(codes, places, strict=True))]
+
+
+def brute_likeness(a, b):
+    links = lambda f: {(f[j - 1][0] if j else -1, *x): x[1] + 1 for j, x in enumerate(f)}
+    x, y = links(a), links(b)
+    common = sum(v for key, v in x.items() if key in y)
+    return 1.0 if not x and not y else common / (sum(x.values()) + sum(y.values()) - common)
+
+
+def test_fingerprints_by_brute_force(spark, docs):
+    short = {1: "one", 2: "a few words only", 3: "x" * 40, 4: " ".join(f"w{(i * 7919) % 31}" for i in range(200)), 5: "", 6: "Ein Satz, der sich wiederholt. " * 9}
+    texts = short | {r["doc_id"]: r["text"] for r in local(docs.where("doc_id >= 1000").orderBy(F.length("text")).limit(6))}
+    rows, ids = {r["doc_id"]: r for r in local(fingerprints.with_next(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))}, sorted(texts)
+    prints = {i: brute_fingerprint(spark, x) for i, x in texts.items() if x}
+    prints[5] = []
+    for a, b in zip(ids, ids[1:] + ids[:1], strict=True):
+        x = texts[a]
+        edited = x[: len(x) - len(x) // 4] + texts[b][: len(x) // 4]
+        other = brute_fingerprint(spark, edited) if edited.strip() else []
+        assert rows[a]["fingerprint"] == "".join(f"{c << 4 | min(d, 15):08X}" for c, d in prints[a])
+        assert rows[a]["near_edited"] == pytest.approx(brute_likeness(prints[a], other)) and rows[a]["near_next"] == pytest.approx(brute_likeness(prints[a], prints[b]))
+
+
+class Katz:
+    """The model by dictionaries: counts of each order, and the recursion as its definition says it."""
+
+    def __init__(self, texts, order):
+        self.order, self.counts = order, {o: collections.Counter() for o in range(1, order + 1)}
+        for t in texts:
+            padded = ["^"] * (order - 1) + t
+            for i in range(order - 1, len(padded)):
+                for o in range(1, order + 1):
+                    self.counts[o][tuple(padded[i - o + 1 : i + 1])] += 1
+        self.total, self.after = sum(self.counts[1].values()), collections.defaultdict(list)
+        for o in range(2, order + 1):
+            for g in self.counts[o]:
+                self.after[g[:-1]].append(g[-1])
+        self.d = {o: self.factors(collections.Counter(c.values())) for o, c in self.counts.items()}
+        self.known = {}
+
+    @staticmethod
+    def factors(n, k=5):
+        if all(n[r] for r in range(1, k + 2)):
+            a = (k + 1) * n[k + 1] / n[1]
+            d = [((r + 1) * n[r + 1] / n[r] / r - a) / (1 - a) for r in range(1, k + 1)] if a < 1 else [0]
+            if all(0 < x < 1 for x in d):
+                return d
+        b = n[1] / (n[1] + 2 * n[2]) if n[1] * n[2] else 0.5
+        return [1 - b / r for r in range(1, k + 1)]
+
+    def cut(self, o, c):
+        return c * self.d[o][c - 1] if 1 <= c <= 5 else c
+
+    def p(self, gram):
+        if gram not in self.known:
+            o, c = len(gram), self.counts[len(gram)][gram]
+            if o == 1:
+                self.known[gram] = self.cut(1, c) / self.total if c else 1 - sum(self.cut(1, x) for x in self.counts[1].values()) / self.total
+            else:
+                den, alpha = self.context(gram[:-1])
+                self.known[gram] = self.cut(o, c) / den if c else alpha * self.p(gram[1:])
+        return self.known[gram]
+
+    def context(self, h):
+        if h not in self.known:
+            o = len(h) + 1
+            seen = [(self.counts[o][(*h, w)], self.p((*h[1:], w))) for w in self.after[h]]
+            n, kept = sum(c for c, _ in seen), sum(self.cut(o, c) for c, _ in seen)
+            den = n if n - kept > 1e-9 else n + 1
+            self.known[h] = (den, (1 - kept / den) / (1 - sum(q for _, q in seen))) if seen else (1, 1.0)
+        return self.known[h]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model(docs, order):
     low = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
-    found = [(d["doc_id"], WORD.findall((d["text"] or "").translate(low)) + [None]) for d in local(docs)]
+    found = [(d["doc_id"], WORD.findall((d["text"] or "").translate(low)) + ["$"]) for d in local(docs.where("length(text) < 20000 or text is null"))]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
-    c = collections.Counter(w for i, t in found if not held(i) for w in t)
-    b = collections.Counter(p for i, t in found if not held(i) for p in zip([0, *t], t))
-    n, v = sum(c.values()), len(c)
-    d1, d2 = language_model.discounts(collections.Counter(c.values())), language_model.discounts(collections.Counter(b.values()))
-    cut = lambda x, d: x * d[x - 1] if x <= 5 else x
-    p = {w: cut(x, d1) / n for w, x in c.items()}
-    unseen, ctx = 1 - sum(p.values()), collections.defaultdict(lambda: [0, 0, 0])
-    for (a, w), x in b.items():
-        q = ctx[a]
-        q[0] += x
-        q[1] += cut(x, d2)
-        q[2] += p[w]
-    den = {a: q[0] if q[0] - q[1] > 1e-9 else q[0] + 1 for a, q in ctx.items()}
-    alpha = {a: (1 - q[1] / den[a]) / (1 - q[2]) for a, q in ctx.items()}
-    for a in list(ctx)[:50]:  # each context sums to one
-        assert sum(cut(b[a, w], d2) / den[a] if b[a, w] else alpha[a] * p[w] for w in p) + alpha[a] * unseen == pytest.approx(1)
-    want = collections.Counter()
+    model = Katz([t for i, t in found if not held(i)], order)
+    words = [g[0] for g in model.counts[1]]
+    for h in list(model.after)[:: len(model.after) // 30 + 1]:  # each context sums to one
+        assert sum(model.p((*h, w)) for w in words) + model.p((*h, "never seen")) == pytest.approx(1)
+    n, v, want = model.total, len(words), []
     for i, t in found:
-        base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
-        score = sum(math.log10(cut(b[a, w], d2) / den[a] if b[a, w] else alpha.get(a, 1) * p.get(w, unseen)) for a, w in zip([0, *t], t))
-        want[i, held(i), len(t), sum(c[w] > 0 for w in t), n, round(base, 4), round(score, 4)] += 1
-    got = collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4), round(r["score"], 4)) for r in local(language_model.score(docs)))
-    assert got == want
+        padded = ["^"] * (order - 1) + t
+        base = sum(math.log10((model.counts[1][(w,)] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
+        score = sum(math.log10(model.p(tuple(padded[j : j + order]))) for j in range(len(t)))
+        want.append((-1 if i is None else i, held(i), len(t), sum(model.counts[1][(w,)] > 0 for w in t), n, base, score))
+    got = local(language_model.score(docs.where("length(text) < 20000 or text is null"), order=order))
+    got = [(-1 if r["doc_id"] is None else r["doc_id"], *[r[c] for c in ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")]) for r in got]
+    assert len(got) == len(want)
+    for x, y in zip(sorted(got), sorted(want), strict=True):
+        assert x[:5] == y[:5] and x[5:] == pytest.approx(y[5:], rel=1e-9)
+
+
+def test_language_model_of_many_blocks(docs, monkeypatch):
+    """Blocks of a few documents, and partitions of a few n-grams, give what one block gives."""
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["score"])
+    one = sorted(local(language_model.score(docs)), key=key)
+    monkeypatch.setattr(language_model, "BLOCK", 2000)
+    monkeypatch.setattr(language_model, "PART", 3000)
+    for x, y in zip(one, sorted(local(language_model.score(docs)), key=key), strict=True):
+        assert x["n_known"] == y["n_known"] and (x["base_score"], x["score"]) == pytest.approx((y["base_score"], y["score"]), rel=1e-9)
 
 
 def test_warc(spark):
@@ -186,7 +266,7 @@ def test_warc(spark):
 
 
 def test_cut_archive():
-    whole = b"".join(warc.record(i, "u", b"p" * 500, "00" * 20, None, False) for i in range(9))
+    whole = b"".join(warc.record(f"urn:x:{i}", i, "u", b"p" * 500, "00" * 20, None, False) for i in range(9))
     import io
 
     cut = zlib.compressobj(1, zlib.DEFLATED, 31)
