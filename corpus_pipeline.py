@@ -9,10 +9,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cinderframe.llm import mixing, near_dedup, packing, pii, quality_rules
-from cinderframe.llm.common import shared_dir, whole_text
+from cinderframe.llm.common import shared_dir
 from cinderframe.llm.registry import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,12 +33,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; equal rows of docs are interchangeable."""
-    key = F.xxhash64(F.col("doc_id"), F.col("source"), whole_text(F.col("text")))
-    taken = mixing.mix(docs.withColumn("doc_id", key)).where("times > 0").groupBy(F.col("doc_id").alias("k")).agg(F.sum("times").alias("all"), F.count("*").alias("rows"))
-    equal = docs.select(key.alias("k")).groupBy("k").count()
-    times = taken.join(equal, "k").select("k", F.ceil(F.col("all") / F.col("count")).cast("int").alias("times"))
-    return docs.withColumn("__k", key).join(times, F.col("__k") == F.col("k")).withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("times")))).select(COLUMNS)
+    """Each document as often as the mix takes it."""
+    return mixing.mixed_rows(docs).select(COLUMNS)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
