@@ -185,7 +185,7 @@ class Katz:
             for g in self.counts[o]:
                 self.after[g[:-1]].append(g[-1])
         self.d = {o: self.factors(collections.Counter(c.values())) for o, c in self.counts.items()}
-        self.known = {}
+        self.known, self.contexts = {}, {}
 
     @staticmethod
     def factors(n, k=5):
@@ -211,13 +211,13 @@ class Katz:
         return self.known[gram]
 
     def context(self, h):
-        if h not in self.known:
+        if h not in self.contexts:
             o = len(h) + 1
             seen = [(self.counts[o][(*h, w)], self.p((*h[1:], w))) for w in self.after[h]]
             n, kept = sum(c for c, _ in seen), sum(self.cut(o, c) for c, _ in seen)
             den = n if n - kept > 1e-9 else n + 1
-            self.known[h] = (den, (1 - kept / den) / (1 - sum(q for _, q in seen))) if seen else (1, 1.0)
-        return self.known[h]
+            self.contexts[h] = (den, (1 - kept / den) / (1 - sum(q for _, q in seen))) if seen else (1, 1.0)
+        return self.contexts[h]
 
 
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
