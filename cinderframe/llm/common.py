@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -78,6 +79,12 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, as Spark itself does every half hour: shuffle files that nothing refers to any more go."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new folder in the shared one, for files that tasks write themselves."""
     folder = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderframe.llm.common import WordHash, fresh_dir, mixed, opened, stash, whole_text
+from cinderframe.llm.common import WordHash, fresh_dir, mixed, opened, release, stash, whole_text
 
 BEGIN, END = 1, 2
 #: Words of an n-gram.
@@ -51,7 +51,7 @@ ORDER = 3
 #: Counts up to this one are discounted.
 GOOD_TURING = 5
 #: Tokens of a block, about; a document is in one block. N-grams of a partition at most, about.
-BLOCK, PART = 1 << 20, 1 << 22
+BLOCK, PART = 1 << 19, 1 << 22
 SCHEMA = pa.schema([("ids", pa.list_(pa.string())), *[(c, pa.binary()) for c in ("lengths", "train", "words", "codes")]])
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -304,6 +304,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
         found = got.where("kind > 0").groupBy("kind").agg(*[F.sum(F.col("spectrum")[r]).alias(f"n{r}") for r in range(GOOD_TURING + 2)]).collect()
         for o, *types in found:
             model.learn(o, types)
+        release(docs.sparkSession)
         return got.select("block", "kind", "part", "answer")
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
