@@ -46,8 +46,8 @@ from pyspark.sql import functions as F
 from cinderframe.llm.common import WordHash, fresh_dir, mixed, opened, release, stash, whole_text
 
 BEGIN, END = 1, 2
-#: Words of an n-gram.
-ORDER = 3
+#: Words of an n-gram by default; the operator takes any order, README says what order 3 needs of disk.
+ORDER = 2
 #: Counts up to this one are discounted.
 GOOD_TURING = 5
 #: Tokens of a block, about; a document is in one block. N-grams of a partition at most, about.
