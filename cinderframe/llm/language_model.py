@@ -51,7 +51,7 @@ ORDER = 2
 #: Counts up to this one are discounted.
 GOOD_TURING = 5
 #: Tokens of a block, about; a document is in one block. N-grams of a partition at most, about.
-BLOCK, PART = 1 << 19, 1 << 22
+BLOCK, PART = 1 << 19, 1 << 20
 SCHEMA = pa.schema([("ids", pa.list_(pa.string())), *[(c, pa.binary()) for c in ("lengths", "train", "words", "codes")]])
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
