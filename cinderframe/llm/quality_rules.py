@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade.
 
 Each rule has a predicate that rejects a document, and says how many characters it looks at in one. On a bounded sample,
-rows of least hash of the whole table, the cost (characters looked at) and the selectivity (share rejected) of each rule
+drawn from the whole table by a hash, the cost (characters looked at) and the selectivity (share rejected) of each rule
 are estimated; the rules then run in order of rejection per cost, and a document leaves the cascade at the first rule
 that rejects it. The estimates are counts, not times, so reruns choose the same order. The order changes the work, never
 the verdict. The base tests are rules of the cascade like others where only the verdict is asked for (keep_good());
@@ -126,9 +126,12 @@ def default_rules() -> list[Rule]:
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejection per cost on the `rows` rows of docs(key, text) of least hash; ties in the order given."""
-    h = F.xxhash64("key", "text")
-    sample = docs.select("text", h.alias("h")).orderBy("h").limit(rows).select("text", words(F.col("text")).alias("w"))
+    """The rules by rejection per cost on `rows` rows of docs(key, text), drawn from the whole table by a hash; ties in the order given."""
+    drawn = docs.withColumn("h", F.xxhash64("key", "text", F.monotonically_increasing_id()))
+    # four times as many as needed pass the threshold, so that a task sends a few rows and not `rows`
+    share = min(1.0, 4.0 * rows / max(1, docs.count()))
+    drawn = drawn.where(F.abs(F.col("h") / float(1 << 63)) <= share)
+    sample = drawn.select("text", "h").orderBy("h").limit(rows).select("text", words(F.col("text")).alias("w"))
     m = measures(F.col("text"), F.col("w"))
     found = sample.agg(F.count("*"), *[f(c) for r in rules for f, c in ((F.count_if, r.rejects(m)), (F.sum, r.work(m)))]).first()
     n = found[0]

@@ -324,34 +324,88 @@ def test_mixing(docs):
     assert rows.sort_values(list(rows.columns)).reset_index(drop=True).equals(pd.DataFrame(local(mixing.mix(docs))).sort_values(list(rows.columns)).reset_index(drop=True))
 
 
+def distance(a, b):
+    """Edit distance of two sequences of words, by bit vectors (Myers, Hyyro)."""
+    at, m = collections.defaultdict(int), len(a)
+    for i, x in enumerate(a):
+        at[x] |= 1 << i
+    every, up, down, d = (1 << m) - 1, (1 << m) - 1, 0, m
+    for y in b:
+        eq = at.get(y, 0)
+        x = eq | down
+        h = (((eq & up) + up) ^ up) | eq
+        rise, fall = down | ~(h | up) & every, up & h
+        d += (rise >> (m - 1) & 1) - (fall >> (m - 1) & 1) if m else 1
+        rise, fall = (rise << 1 | 1) & every, (fall << 1) & every
+        up, down = fall | ~(x | rise) & every, rise & x
+    return d
+
+
+def near_pairs(texts):
+    """All pairs of edit similarity 0.8 or more, those of equal texts left out."""
+    bags, near = {i: collections.Counter(w) for i, w in texts.items()}, []
+    order = sorted(texts, key=lambda i: len(texts[i]))
+    for j, b in enumerate(order):
+        for a in reversed(order[:j]):
+            n = len(texts[b])
+            if n - len(texts[a]) > 0.2 * n + 1e-9:
+                break
+            if texts[a] != texts[b] and sum((bags[b] - bags[a]).values()) <= 0.2 * n + 1e-9 and distance(texts[a], texts[b]) <= 0.2 * n + 1e-9:
+                near.append((a, b))
+    return near
+
+
 def test_near_dedup_against_all_pairs(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("n_chars < 3000").limit(400)
-    texts, cls = {d["doc_id"]: d["text"].split() for d in local(docs)}, {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(docs))}
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
-    near = []
-    for a, b in itertools.combinations(texts, 2):
-        n = max(len(texts[a]), len(texts[b]), 1)
-        bag = (collections.Counter(texts[a]) - collections.Counter(texts[b])).total()
-        if abs(len(texts[a]) - len(texts[b])) <= 0.2 * n and bag <= 0.2 * n and 1 - distance(texts[a], texts[b]) / n >= 0.8:
-            near.append((a, b))
-    assert near and sum(cls[a] == cls[b] for a, b in near) >= 0.95 * len(near)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts, rows = {d["doc_id"]: WORD.findall(d["text"]) for d in local(docs)}, {r["doc_id"]: r for r in local(near_dedup.classes(docs))}
+    near, cls = near_pairs(texts), {i: r["class_id"] for i, r in rows.items()}
+    equal = [p for p in itertools.combinations(texts, 2) if texts[p[0]] == texts[p[1]]]
+    found = sum(cls[a] == cls[b] for a, b in near)
+    assert len(near) > 50 and found >= 0.95 * len(near) and all(cls[a] == cls[b] for a, b in equal) and found + len(equal) >= 0.98 * (len(near) + len(equal))
     root = {i: i for i in texts}
     find = lambda i: i if root[i] == i else find(root[i])
+    first = {}
+    for i, w in texts.items():
+        root[find(i)] = find(first.setdefault(tuple(w), i))
     for a, b in near:
         root[find(a)] = find(b)
     assert all(find(a) == find(c) for a, c in cls.items())  # no class holds strangers
+    linked = {i for pair in near for i in pair}
+    assert all(rows[i]["links"] == 0 or i in linked or list(texts.values()).count(texts[i]) > 1 for i in rows)
     kept = [r["doc_id"] for r in local(near_dedup.keep_one(docs))]
     assert sorted(kept) == sorted(set(cls.values()))
 
 
+def test_near_dedup_of_short_texts(spark):
+    """Texts of up to 14 words miss no pair."""
+    draw, rows = random.Random(5), []
+    for i in range(60):
+        base = [f"w{draw.randrange(400)}" for _ in range(draw.randint(1, 14))]
+        for _ in range(3):
+            text = list(base)
+            for _ in range(draw.randint(0, 2)):
+                text[draw.randrange(len(text))] = f"x{draw.randrange(400)}"
+            rows.append((len(rows), " ".join(text)))
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")))}
+    pairs = near_pairs({i: t.split() for i, t in rows})
+    assert len(pairs) > 30 and [(a, b) for a, b in pairs if cls[a] != cls[b]] == []
+
+
+def test_near_dedup_of_strangers_with_a_passage(spark):
+    """A passage that strangers share makes no class of them, and the copies among them are found."""
+    draw = random.Random(9)
+    words = lambda n: [f"w{draw.randrange(10**5)}" for _ in range(n)]
+    passage, rows = words(60), []
+    for i in range(400):
+        text = words(70) + passage + words(70)
+        rows.append((2 * i, " ".join(text)))
+        if i % 10 == 0:
+            text[draw.randrange(200)] = "changed"
+            rows.append((2 * i + 1, " ".join(text)))
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert cls == {i: i - i % 2 for i, _ in rows}
+
+
 def star(copies):
     """An original and copies that each insert 55 words of their own into its 300: near it, hardly near each other."""
     draw = random.Random(copies)
@@ -365,7 +419,7 @@ def star(copies):
     return rows
 
 
-@pytest.mark.parametrize("copies", [10, 150])
+@pytest.mark.parametrize("copies", [10, 150, 1000])
 def test_near_dedup_of_a_star(spark, copies):
     rows = star(copies)
     sketch = {i: near_dedup.sketched(near_dedup.labelled(np.array([near_dedup.WordHash()[w] for w in t.encode().split()], np.uint64))) for i, t in rows}
