@@ -9,9 +9,18 @@ from pyspark.sql import Window as W
 from cinderframe.operators import constants as C
 
 
+#: Different values at most that weighted_spearman() ranks.
+MOST_VALUES = 1_000_000
+
+
 def cbi_bin(v: Column, bins: int = C.CBI_BINS) -> Column:
-    """0-based bin of a severity, the last one closed; NULL out of range."""
+    """0-based bin of a severity, the last one closed; NULL out of range.
+
+    Severities are single-precision values and edges are doubles, so 0.35, which is a little less in single precision,
+    falls below the edge 0.35.
+    """
     low, high = C.CBI_RANGE
+    v = v.cast("float").cast("double")
     return F.when(v.between(low, high), F.least(F.width_bucket(v, F.lit(low), F.lit(high), F.lit(bins)) - 1, F.lit(bins - 1)).cast("int"))
 
 
@@ -32,6 +41,17 @@ def dense(hist: DataFrame) -> DataFrame:
     return grid.join(F.broadcast(hist), ["bin", "mtbs_class", "land_cover"], "left").select("bin", "mtbs_class", "land_cover", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def edge_sets(rows: DataFrame, year: str, edge: str) -> DataFrame:
+    """One row: how many different sets of edges the years have (1 if consistent), how many years, and the largest set."""
+    by_year = rows.groupBy(year).agg(F.sort_array(F.collect_set(edge)).alias("e"))
+    return by_year.agg(F.count_distinct("e").alias("edge_sets"), F.count("*").alias("years"), F.max(F.size("e")).cast("bigint").alias("most"))
+
+
+def run_totals(results: DataFrame, status: str = "status") -> DataFrame:
+    """How many results there are of each status, and of how many an error is told."""
+    return results.groupBy(status).agg(F.count("*").alias("n"))
+
+
 def rebinned(hist: DataFrame, width: float = 0.1, source: float = 0.05) -> DataFrame:
     """Counts by wider bins and class, all covers together: left is the new bin's left edge."""
     left = F.floor(F.round(F.col("bin") * source / width, 10)).cast("double") * width
@@ -53,11 +73,14 @@ def pivoted(hist: DataFrame) -> DataFrame:
 def weighted_spearman(cells: DataFrame, a: str, b: str, n: str) -> DataFrame:
     """Spearman's correlation of (a, b) pairs that occur n times: average ranks from running counts, no row expansion.
 
-    Both windows run over different values, one row each, not over observations.
+    Both windows run over different values, one row each, not over observations: severities and classes have some hundred
+    of them. More than MOST_VALUES are refused, as a window over all of them is one task's work.
     """
+    cells = cells.groupBy(a, b).agg(F.sum(n).alias(n))
 
     def ranks(c: str) -> DataFrame:
         v = cells.groupBy(c).agg(F.sum(n).alias("m"))
+        v = v.withColumn("m", F.when(F.count("*").over(W.partitionBy()) <= MOST_VALUES, F.col("m")).otherwise(F.raise_error(F.lit("too many values to rank"))))
         return v.select(c, (F.sum("m").over(W.orderBy(c)) - F.col("m") + (F.col("m") + 1) / 2).alias(f"r_{c}"))
 
     r = cells.join(F.broadcast(ranks(a)), a).join(F.broadcast(ranks(b)), b).select(F.col(n).cast("double").alias("w"), F.col(f"r_{a}").alias("x"), F.col(f"r_{b}").alias("y"))
@@ -75,7 +98,9 @@ def match_plots(plots: DataFrame, tiles: DataFrame, pixels: DataFrame, size: flo
     years = tiles.select(F.col("year").alias("fire_year")).distinct().withColumn("has_year", F.lit(True))
     cover = plots.join(F.broadcast(tiles.withColumnRenamed("year", "fire_year")), "fire_year").where(F.col("x").between(F.col("minx"), F.col("maxx")) & F.col("y").between(F.col("miny"), F.col("maxy")))
     cover = cover.select("plot_id", "file", F.floor((F.col("maxy") - F.col("y")) / size).cast("int").alias("row"), F.floor((F.col("x") - F.col("minx")) / size).cast("int").alias("col"))
-    found = cover.join(pixels, ["file", "row", "col"], "left").groupBy("plot_id").agg(F.min_by("cbi", F.when(F.col("cbi").isNotNull(), F.col("file"))).alias("predicted"), F.lit(True).alias("covered"))
+    # few pixels have a plot: only their files, rows and columns are looked up
+    wanted = pixels.join(cover.select("file", "row", "col").distinct(), ["file", "row", "col"], "left_semi")
+    found = cover.join(wanted, ["file", "row", "col"], "left").groupBy("plot_id").agg(F.min_by("cbi", F.when(F.col("cbi").isNotNull(), F.col("file"))).alias("predicted"), F.lit(True).alias("covered"))
     reason = F.when(F.col("predicted").isNotNull(), "matched").when(F.col("covered"), "nodata").when(F.col("has_year"), "no covering tile").otherwise("no year")
     return plots.join(F.broadcast(years), "fire_year", "left").join(found, "plot_id", "left").select(*plots.columns, "predicted", reason.alias("reason"))
 

@@ -13,7 +13,7 @@ from cinderframe.operators import constants as C
 
 def season_windows(spark) -> DataFrame:
     """state, start_day, end_day: 48 rows."""
-    return spark.createDataFrame([(s, a, b) for (a, b), states in C.SEASONS.items() for s in states.split()], "state string, start_day int, end_day int")
+    return spark.createDataFrame(C.SEASONS, "state string, start_day int, end_day int")
 
 
 def select_fires(fires: DataFrame, types: Sequence[int] = C.FIRE_TYPES, states: Sequence[str] | None = None, years: tuple[int, int] | None = None) -> DataFrame:

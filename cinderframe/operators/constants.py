@@ -1,12 +1,16 @@
 """State season windows, codes, class labels."""
 
-#: First and last day of year of the season, by state.
-SEASONS = {
-    (91, 181): "AZ KS NM OK TX",
-    (121, 212): "AL AR CT DE FL GA IA IL IN KY LA MA MD MO MS NC NJ NY OH PA RI SC TN VA WV",
-    (140, 243): "ME MI MN NH VT WI",
-    (152, 258): "CA CO ID MT ND NE NV OR SD UT WA WY",
-}
+#: State, first and last day of year of its season.
+SEASONS = [
+    ("AL", 121, 212), ("AR", 121, 212), ("AZ", 91, 181), ("CA", 152, 258), ("CO", 152, 258), ("CT", 121, 212),
+    ("DE", 121, 212), ("FL", 121, 212), ("GA", 121, 212), ("IA", 121, 212), ("ID", 152, 258), ("IL", 121, 212),
+    ("IN", 121, 212), ("KS", 91, 181), ("KY", 121, 212), ("LA", 121, 212), ("MA", 121, 212), ("MD", 121, 212),
+    ("ME", 140, 243), ("MI", 140, 243), ("MN", 140, 243), ("MO", 121, 212), ("MS", 121, 212), ("MT", 152, 258),
+    ("NC", 121, 212), ("ND", 152, 258), ("NE", 152, 258), ("NH", 140, 243), ("NJ", 121, 212), ("NM", 91, 181),
+    ("NV", 152, 258), ("NY", 121, 212), ("OH", 121, 212), ("OK", 91, 181), ("OR", 152, 258), ("PA", 121, 212),
+    ("RI", 121, 212), ("SC", 121, 212), ("SD", 152, 258), ("TN", 121, 212), ("TX", 91, 181), ("UT", 152, 258),
+    ("VA", 121, 212), ("VT", 140, 243), ("WA", 152, 258), ("WI", 140, 243), ("WV", 121, 212), ("WY", 152, 258),
+]
 #: Unknown, wildfire, and wildfire that was allowed to burn.
 FIRE_TYPES = (0, 1, 3)
 #: Fill, dilated cloud, cloud, cloud shadow, snow and water bits of a quality pixel.

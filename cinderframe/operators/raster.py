@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderframe.functions.geo import PIXEL
+from cinderframe.functions.geo import PIXEL, SNAP, Albers, Utm
 
 
 def centre(i: Column, origin: float = 0.0, size: float = PIXEL) -> Column:
@@ -39,17 +39,19 @@ def warp_bilinear(source: DataFrame, target: DataFrame, r: Column, c: Column, va
     return joined.groupBy(*keys).agg((F.sum(F.col("_w") * F.col("_v")) / F.nullif(weight, F.lit(0.0))).alias(value))
 
 
-def inside(pixels: DataFrame, edges: DataFrame, x: str = "x", y: str = "y", on: tuple[str, ...] = ()) -> DataFrame:
+def inside(pixels: DataFrame, edges: DataFrame, x: str = "x", y: str = "y", on: tuple[str, ...] = (), band: float = PIXEL) -> DataFrame:
     """The pixels whose centre lies in the polygon of edges(x1, y1, x2, y2), holes out: even-odd over a ray to the right.
 
-    Pixels outside the edges' bounds never meet an edge; each pixel's other columns tell it apart.
+    Edges are dealt to the bands of `band` metres that they reach across, and pixels join those of their own band, so a
+    pixel meets the few edges at its height; each pixel's other columns tell it apart. No edges: no pixel is inside.
     """
-    e = edges.select(*on, "x1", "y1", "x2", "y2")
-    box = e.groupBy(*on).agg(F.min(F.least("x1", "x2")).alias("_x0"), F.max(F.greatest("x1", "x2")).alias("_x1"), F.min(F.least("y1", "y2")).alias("_y0"), F.max(F.greatest("y1", "y2")).alias("_y1"))
-    boxed = (pixels.join(F.broadcast(box), list(on)) if on else pixels.crossJoin(F.broadcast(box))).where(F.col(x).between(F.col("_x0"), F.col("_x1")) & F.col(y).between(F.col("_y0"), F.col("_y1"))).select(*pixels.columns)
+    level = lambda v: F.floor(v / band).cast("bigint")
+    e = edges.where("y1 <> y2").select(*[F.col(k).alias(f"_{k}") for k in on], "x1", "y1", "x2", "y2", F.explode(F.sequence(level(F.least("y1", "y2")), level(F.greatest("y1", "y2")))).alias("_band"))
+    p = pixels.withColumn("_at", level(F.col(y)))
     crosses = ((F.col("y1") > F.col(y)) != (F.col("y2") > F.col(y))) & (F.col(x) < (F.col("x2") - F.col("x1")) * (F.col(y) - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) + F.col("x1"))
-    hit = boxed.join(F.broadcast(e), [boxed[k].eqNullSafe(e[k]) for k in on] + [crosses]) if on else boxed.join(F.broadcast(e), crosses)
-    return hit.groupBy(*[boxed[k] for k in pixels.columns]).agg(F.count("*").alias("_n")).where("_n % 2 = 1").drop("_n")
+    same = [F.col("_at") == F.col("_band"), *[p[k].eqNullSafe(F.col(f"_{k}")) for k in on]]
+    hit = p.join(e, [*same, crosses])
+    return hit.groupBy(*pixels.columns).agg(F.count("*").alias("_n")).where("_n % 2 = 1").drop("_n")
 
 
 def area_and_bounds(edges: DataFrame, by: str) -> DataFrame:
@@ -106,18 +108,91 @@ def split_ring(ring: Ring, threshold: float) -> Iterator[Ring]:
         todo += [half_plane(part, axis, middle, below) for below in (False, True)]
 
 
+#: Halvings at most: a box of the Earth's surface is down to a square metre after half as many.
+HALVINGS = 100
+
+
 def split_boxes(fires: DataFrame, threshold: float) -> DataFrame:
-    """fires(event_id, minx, miny, maxx, maxy) as pieces: event_id, piece, minx, miny, maxx, maxy, area."""
+    """fires(event_id, minx, miny, maxx, maxy) as pieces: event_id, piece, minx, miny, maxx, maxy, area.
+
+    Halves of a box are alike, so the number of cuts along each axis is arithmetic: no rows travel to Python. Empty and
+    infinite boxes give no piece, or stay whole.
+    """
+    sides = F.struct((F.col("maxx") - F.col("minx")).alias("w"), (F.col("maxy") - F.col("miny")).alias("h"), F.lit(1).cast("bigint").alias("a"), F.lit(1).cast("bigint").alias("b"))
+
+    def halve(s: Column, _: Column) -> Column:
+        large, wide = s["w"] * s["h"] > threshold, s["w"] >= s["h"]
+        cut = lambda c, now: F.when(now, s[c] / 2).otherwise(s[c]).alias(c)
+        more = lambda c, now: F.when(now, s[c] * 2).otherwise(s[c]).alias(c)
+        return F.struct(cut("w", large & wide), cut("h", large & ~wide), more("a", large & wide), more("b", large & ~wide))
+
+    finite = (F.col("w0") > 0) & (F.col("h0") > 0)
+    found = fires.select("event_id", "minx", "miny", "maxx", "maxy", (F.col("maxx") - F.col("minx")).alias("w0"), (F.col("maxy") - F.col("miny")).alias("h0")).where(finite)
+    found = found.withColumn("s", F.when(F.col("w0") * F.col("h0") < float("inf"), F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), sides, halve)).otherwise(sides))
+    found = found.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("s.a") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("s.b") - 1)))
+    x, y = (lambda k: F.col("minx") + k * F.col("s.w")), (lambda k: F.col("miny") + k * F.col("s.h"))
+    return found.select("event_id", (F.col("i") * F.col("s.b") + F.col("j")).cast("int").alias("piece"), x(F.col("i")).alias("minx"), y(F.col("j")).alias("miny"), x(F.col("i") + 1).alias("maxx"), y(F.col("j") + 1).alias("maxy"), (F.col("s.w") * F.col("s.h")).alias("area"))
+
+
+def split_polygons(parts: DataFrame, threshold: float) -> DataFrame:
+    """parts(event_id, edges: array of ring, x1, y1, x2, y2) as pieces with edges of their own: event_id, piece, edges.
+
+    Every ring of a piece, holes too, is cut by the same lines. A concave ring cut in two keeps bridges along the cut;
+    even-odd tests and areas don't see them. Pieces without area drop out.
+    """
 
     def run(batches):
         import pandas as pd
 
         for batch in batches:
             out = []
-            for i, a, b, c, d in zip(*(batch[k] for k in ("event_id", "minx", "miny", "maxx", "maxy")), strict=True):
-                for n, ring in enumerate(split_ring([(a, b), (c, b), (c, d), (a, d)], threshold)):
-                    xs, ys = [p[0] for p in ring], [p[1] for p in ring]
-                    out.append((i, n, min(xs), min(ys), max(xs), max(ys), ring_area(ring)))
-            yield pd.DataFrame(out, columns=["event_id", "piece", "minx", "miny", "maxx", "maxy", "area"])
+            for event, edges in zip(batch["event_id"], batch["edges"], strict=True):
+                rings: dict[int, Ring] = {}
+                for e in edges if edges is not None else ():
+                    rings.setdefault(e["ring"], []).append((e["x1"], e["y1"]))
+                for n, piece in enumerate(split_rings(list(rings.values()), threshold)):
+                    closed = [(k, *a, *b) for k, ring in enumerate(piece) for a, b in zip(ring, ring[1:] + ring[:1], strict=True) if a != b]
+                    out.append((event, n, [dict(zip(("ring", "x1", "y1", "x2", "y2"), e, strict=True)) for e in closed]))
+            yield pd.DataFrame(out, columns=["event_id", "piece", "edges"])
+
+    return parts.select("event_id", "edges").mapInPandas(run, "event_id string, piece int, edges array<struct<ring:int,x1:double,y1:double,x2:double,y2:double>>")
+
+
+def split_rings(rings: list[Ring], threshold: float) -> Iterator[list[Ring]]:
+    """Like split_ring(), for outer rings and holes together."""
+    todo = [rings]
+    while todo:
+        part = [r for r in todo.pop() if len(r) >= 3 and ring_area(r) > 0]
+        if not part:
+            continue
+        xs, ys = [p[0] for r in part for p in r], [p[1] for r in part for p in r]
+        w, h = max(xs) - min(xs), max(ys) - min(ys)
+        if w * h <= threshold or not math.isfinite(w * h):
+            yield part
+            continue
+        axis = 0 if w >= h else 1
+        middle = (min(xs) + max(xs)) / 2 if axis == 0 else (min(ys) + max(ys)) / 2
+        todo += [[half_plane(r, axis, middle, below) for r in part] for below in (False, True)]
+
+
+def snapped_grid(spark: SparkSession, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
+    """row, col, x, y (centres) of the snapped equal-area grid around bounds, made in parallel."""
+    left, top = SNAP[0] + math.floor((minx - SNAP[0]) / PIXEL) * PIXEL, SNAP[1] - math.floor((SNAP[1] - maxy) / PIXEL) * PIXEL
+    wide, high = math.ceil((maxx - left) / PIXEL), math.ceil((top - miny) / PIXEL)
+    cell = spark.range(wide * high).select(F.floor(F.col("id") / wide).cast("int").alias("row"), (F.col("id") % wide).cast("int").alias("col"))
+    return cell.select("row", "col", (F.lit(left) + (F.col("col") + 0.5) * PIXEL).alias("x"), (F.lit(top) - (F.col("row") + 0.5) * PIXEL).alias("y"))
 
-    return fires.select("event_id", "minx", "miny", "maxx", "maxy").mapInPandas(run, "event_id string, piece int, minx double, miny double, maxx double, maxy double, area double")
+
+def to_snapped_clip(source: DataFrame, edges: DataFrame, east: float, north: float, zone: str, values: list[str], size: float = PIXEL) -> DataFrame:
+    """source(row, col, values) of a UTM grid on the snapped equal-area grid, inside the polygon of edges: row, col, x, y, values.
+
+    Each target pixel takes the value of the source pixel its centre falls in. Only the polygon's pixels are ever
+    projected, and rows and columns without any are cropped by not being there.
+    """
+    minx, miny, maxx, maxy = edges.agg(F.min(F.least("x1", "x2")), F.min(F.least("y1", "y2")), F.max(F.greatest("x1", "x2")), F.max(F.greatest("y1", "y2"))).first()
+    kept = inside(snapped_grid(source.sparkSession, minx, miny, maxx, maxy), edges)
+    lon, lat = Albers().inverse("x", "y")
+    placed = kept.withColumn("_lon", F.expr(lon)).withColumn("_lat", F.expr(lat))
+    e, n = Utm().forward("_lon", "_lat", zone)
+    placed = placed.withColumn("_e", F.expr(e)).withColumn("_n", F.expr(n))
+    return warp_nearest(source, placed, (north - F.col("_n")) / size, (F.col("_e") - east) / size, values).drop("_lon", "_lat", "_e", "_n")

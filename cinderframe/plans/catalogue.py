@@ -57,7 +57,7 @@ def trunc_sql(x: str) -> str:
     return f"CAST(sign({x}) * floor(abs(round(({x}), 6))) AS DOUBLE)"
 
 
-WINDOWS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{s}', {a}, {b})" for (a, b), states in C.SEASONS.items() for s in states.split()) + ") AS t(state, start_day, end_day)"
+WINDOWS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{s}', {a}, {b})" for s, a, b in C.SEASONS) + ") AS t(state, start_day, end_day)"
 ALBERS, UTM = Albers(), Utm()
 #: Where the fixture grid lies: easting and northing of its upper left corner in UTM zone 11, and its pixel size (wide, so that latitudes differ).
 EAST0, NORTH0, ZONE, STEP = 677510.0, 5135300.0, "11", 20000.0
@@ -76,7 +76,7 @@ CTES = {
     "rf": """SELECT row, col, CASE WHEN rbr IS NOT NULL AND dmirbi IS NOT NULL AND dndvi IS NOT NULL AND post_mirbi IS NOT NULL AND def IS NOT NULL AND lat IS NOT NULL THEN
   floor(round(((CASE WHEN rbr <= 100 THEN CAST(0.4 AS DOUBLE) WHEN dmirbi <= -500 THEN CAST(2.9 AS DOUBLE) ELSE CAST(1.7 AS DOUBLE) END) + (CASE WHEN post_mirbi <= 1500 THEN CAST(0.8 AS DOUBLE) ELSE CAST(2.2 AS DOUBLE) END) + (CASE WHEN dndvi <= 50 THEN CAST(0.9 AS DOUBLE) ELSE CAST(2.6 AS DOUBLE) END)) / 3 * 100, 6)) / 100 END AS cbi FROM pred""",
     "cbi_bc_px": "SELECT row, col, cbi, floor(round(CASE WHEN cbi IS NOT NULL THEN least(greatest(CASE WHEN cbi <= 1.5 THEN (cbi - CAST(1.5 AS DOUBLE)) * CAST(1.3 AS DOUBLE) + CAST(1.5 AS DOUBLE) ELSE (cbi - CAST(1.5 AS DOUBLE)) * CAST(1.175 AS DOUBLE) + CAST(1.5 AS DOUBLE) END, 0), 3) END * 100, 6)) / 100 AS cbi_bc FROM rf",
-    "hist": "SELECT CAST(least(floor(cbi_bc * 20 + CAST(0.000000001 AS DOUBLE)), 59) AS INT) AS bin, mtbs AS mtbs_class, cat AS land_cover, count(*) AS n FROM (SELECT cbi_bc, CAST((row * 7 + col * 3) % 7 AS INT) AS mtbs, CAST((row * 5 + col * 11) % 17 AS INT) AS idx FROM cbi_bc_px) p JOIN fx_nlcd_dim d ON p.idx = d.idx WHERE mtbs BETWEEN 1 AND 6 AND cat IS NOT NULL AND cbi_bc BETWEEN 0 AND 3 GROUP BY 1, 2, 3",
+    "hist": "SELECT CAST(least(floor(CAST(CAST(cbi_bc AS FLOAT) AS DOUBLE) * 20), 59) AS INT) AS bin, mtbs AS mtbs_class, cat AS land_cover, count(*) AS n FROM (SELECT cbi_bc, CAST((row * 7 + col * 3) % 7 AS INT) AS mtbs, CAST((row * 5 + col * 11) % 17 AS INT) AS idx FROM cbi_bc_px) p JOIN fx_nlcd_dim d ON p.idx = d.idx WHERE mtbs BETWEEN 1 AND 6 AND cat IS NOT NULL AND cbi_bc BETWEEN 0 AND 3 GROUP BY 1, 2, 3",
     "hist10": "SELECT round(floor(round(bin * CAST(0.05 AS DOUBLE) / CAST(0.1 AS DOUBLE), 10)) * CAST(0.1 AS DOUBLE), 6) AS lft, mtbs_class, CAST(sum(n) AS BIGINT) AS n FROM hist GROUP BY 1, 2",
     "plots": "SELECT plot_id, fire_year, x, y, TRY_CAST(cbi_x100 AS DOUBLE) / 100 AS observed FROM fx_field_raw WHERE TRY_CAST(cbi_x100 AS DOUBLE) IS NOT NULL",
     "tiles": "SELECT * FROM (VALUES ('a', 1997, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(600 AS DOUBLE), CAST(600 AS DOUBLE)), ('b', 1997, CAST(300 AS DOUBLE), CAST(0 AS DOUBLE), CAST(900 AS DOUBLE), CAST(600 AS DOUBLE)), ('c', 1998, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(600 AS DOUBLE), CAST(600 AS DOUBLE)), ('d', 1999, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(600 AS DOUBLE), CAST(600 AS DOUBLE))) AS t(file, year, minx, miny, maxx, maxy)",
@@ -230,8 +230,11 @@ def obs_reflectance_qa(spark, sf_dir):
 @query("SELECT row, col, yr, round(nbr, 8) AS nbr, round(ndvi, 8) AS ndvi, round(ndmi, 8) AS ndmi, round(evi, 8) AS evi, round(mirbi, 8) AS mirbi FROM idx WHERE nbr IS NOT NULL")
 def spectral_indices(spark, sf_dir):
     names = ("nbr", "ndvi", "ndmi", "evi", "mirbi")
-    o = observations(spark, sf_dir, ("blue", "red", "nir08", "swir16", "swir22")).select("row", "col", "yr", *spectral.indices(names))
-    return o.where("nbr is not null").select("row", "col", "yr", *[F.round(n, 8).alias(n) for n in names])
+    # the pixels without an index are told by their quality bits and bands, before anything is computed
+    usable = spectral.is_clear(F.col("qa_pixel")) & F.col("dn_nir08").isNotNull() & F.col("dn_swir22").isNotNull()
+    o = spectral.with_reflectance(view(spark, sf_dir, "fx_obs").where(usable), ("blue", "red", "nir08", "swir16", "swir22"))
+    o = o.where("not (nir08 = 0 and swir22 = 0)").select("row", "col", "yr", *spectral.indices(names))
+    return o.select("row", "col", "yr", *[F.round(n, 8).alias(n) for n in names])
 
 
 def composites(spark, sf_dir):
@@ -376,10 +379,12 @@ def hist_pivot(spark, sf_dir):
     return analysis.pivoted(analysis.rebinned(histogram(spark, sf_dir))).withColumnRenamed("left", "lft")
 
 
-@query("SELECT count(DISTINCT e) AS edge_sets FROM (SELECT yr, list(DISTINCT b ORDER BY b) AS e FROM (SELECT unnest([1997, 1998]) AS yr, b.range AS b FROM range(0, 60) b) GROUP BY yr)")
+@query("SELECT count(DISTINCT e) AS edge_sets, count(*) AS years, max(len(e)) AS most FROM (SELECT yr, list(DISTINCT b ORDER BY b) AS e FROM (SELECT CAST(year(l_shipdate) AS INT) AS yr, CAST(l_quantity AS INT) % 7 AS b FROM lineitem WHERE l_linenumber = 1 OR year(l_shipdate) > 1992) WHERE NOT (yr = 1995 AND b = 3) GROUP BY yr)")
 def hist_edge_consistency(spark, sf_dir):
-    d = analysis.dense(histogram(spark, sf_dir)).select(F.explode(F.array(F.lit(1997), F.lit(1998))).alias("yr"), "bin")
-    return d.groupBy("yr").agg(F.sort_array(F.collect_set("bin")).alias("e")).agg(F.count_distinct("e").alias("edge_sets"))
+    """Years whose sets of bins differ are told: 1995 lacks one."""
+    d = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_linenumber = 1 or year(l_shipdate) > 1992")
+    d = d.select(F.year("l_shipdate").alias("yr"), (F.col("l_quantity").cast("int") % 7).alias("b")).where("not (yr = 1995 and b = 3)")
+    return analysis.edge_sets(d, "yr", "b")
 
 
 @query("""SELECT round(corr(rx, ry), 6) AS rho, count(*) AS n FROM (SELECT (rank() OVER (ORDER BY lft) + (count(*) OVER (PARTITION BY lft) - 1) / CAST(2 AS DOUBLE)) AS rx, (rank() OVER (ORDER BY mtbs_class) + (count(*) OVER (PARTITION BY mtbs_class) - 1) / CAST(2 AS DOUBLE)) AS ry
@@ -409,7 +414,8 @@ def field_clean(spark, sf_dir):
 def matched(spark, sf_dir):
     tiles = spark.sql(CTES["tiles"])
     px = severity(spark, sf_dir).select("row", "col", F.col("cbi_bc").alias("cbi"))
-    px = px.crossJoin(F.broadcast(tiles.select("file"))).where("not (file = 'a' and col >= 10)")
+    # each tile holds the whole grid, but for a's right half
+    px = px.withColumn("file", F.explode(F.array(*[F.lit(f) for f in "abcd"]))).where("not (file = 'a' and col >= 10)")
     return analysis.match_plots(plots(spark, sf_dir), tiles, px)
 
 
