@@ -20,27 +20,23 @@ def trunc0(x: Column) -> Column:
     return F.signum(x) * F.floor(F.abs(x)).cast("double")
 
 
-def trunc_scaled(x: Column, scale: float = 1000.0) -> Column:
-    """x * scale cut toward zero; noise below 1e-6 is rounded away first, so that it can't flip a unit."""
-    return trunc0(F.round(x * scale, 6))
+def trunc_scaled(x: Column, scale: float = 1000.0, digits: int | None = None) -> Column:
+    """x * scale cut toward zero; with digits, noise below them is rounded away first, so that it can't flip a unit."""
+    scaled = x * scale
+    return trunc0(scaled if digits is None else F.round(scaled, digits))
 
 
-def floor2(x: Column) -> Column:
-    return F.floor(F.round(x * 100, 6)).cast("double") / 100
+def floor2(x: Column, digits: int | None = None) -> Column:
+    """x cut down to hundredths, in single precision; with digits, in double precision after rounding noise below them away."""
+    if digits is None:
+        return f32(F.floor(f32(f32(x).cast("double") * 100)).cast("double") / 100).cast("double")
+    return F.floor(F.round(x * 100, digits)).cast("double") / 100
 
 
 def is_finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != INF)
 
 
-def nan_to_null(x: Column) -> Column:
-    return F.when(~F.isnan(x), x)
-
-
-def null_to_nan(x: Column) -> Column:
-    return F.coalesce(x, F.lit(float("nan")))
-
-
 def clip(x: Column, low: float, high: float) -> Column:
     """x within [low, high]; NULL stays NULL."""
     return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(low)), F.lit(high)))

@@ -30,6 +30,16 @@ def joint_histogram(pixels: DataFrame, cover_dim: DataFrame) -> DataFrame:
     return named.join(F.broadcast(cover_dim.where("cat is not null")), "code").groupBy("bin", F.col("mtbs").alias("mtbs_class"), F.col("cat").alias("land_cover")).agg(F.count("*").alias("n"))
 
 
+def with_classes(pixels: DataFrame, classes: DataFrame, cover: DataFrame) -> DataFrame:
+    """pixels(row, col, year, cbi) with mtbs, the class v rounded half to even, and code, the land cover of the year before.
+
+    Pixels without a severity, a class or a cover drop out.
+    """
+    rounded = classes.select("row", "col", F.rint("v").cast("int").alias("mtbs"))
+    before = cover.select("row", "col", (F.col("year") + 1).alias("year"), "code")
+    return pixels.where("cbi is not null").join(rounded, ["row", "col"]).join(before, ["row", "col", "year"])
+
+
 def dense(hist: DataFrame) -> DataFrame:
     """Every combination of bin, class and cover (2 880 rows), with 0 where nothing was counted."""
     spark = hist.sparkSession

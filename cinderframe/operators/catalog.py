@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from cinderframe.functions.geo import Albers
 from cinderframe.operators import constants as C
 
 
@@ -69,3 +70,36 @@ def search_scenes(fires: DataFrame, scenes: DataFrame, max_cloud: float = C.MAX_
     once = (F.col("cx") == F.floor(F.greatest("f.lon_w", "s.lon_w"))) & (F.col("cy") == F.floor(F.greatest("f.lat_s", "s.lat_s")))
     joined = f.join(s, ["yr", "cx", "cy"]).where(meets & once & F.col("doy").between(F.col("start_day"), F.col("end_day")))
     return joined.select("event_id", "scene_id", (F.col("yr") - F.col("year")).alias("rel_year"))
+
+
+def lon_lat_box(fires: DataFrame, buffer: float, points: int = 21) -> DataFrame:
+    """event_id, lon_w, lat_s, lon_e, lat_n: the bounds in degrees of the fires' buffered boxes, from points along each side."""
+    w, s, e, n = F.col("minx") - buffer, F.col("miny") - buffer, F.col("maxx") + buffer, F.col("maxy") + buffer
+    t = F.col("i") / F.lit(float(points))
+    x, y = w + (e - w) * t, s + (n - s) * t
+    at = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    spread = fires.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points)))).withColumn("p", F.array(at(x, s), at(x, n), at(w, y), at(e, y)))
+    spread = spread.select("event_id", F.inline("p"))
+    lon, lat = (F.expr(v) for v in Albers().inverse("x", "y"))
+    return spread.groupBy("event_id").agg(F.min(lon).alias("lon_w"), F.min(lat).alias("lat_s"), F.max(lon).alias("lon_e"), F.max(lat).alias("lat_n"))
+
+
+def pixel_window(boxes: DataFrame, left: float, top: float, size: float, height: int, width: int) -> DataFrame:
+    """event_id, c0, c1, r0, r1: the columns and rows of a raster that boxes reach, within its shape."""
+    whole = lambda v, name: v.cast("int").alias(name)
+    col, row = (lambda x: (F.col(x) - left) / size), (lambda y: (F.lit(top) - F.col(y)) / size)
+    return boxes.select(
+        "event_id", whole(F.greatest(F.floor(col("minx")), F.lit(0)), "c0"), whole(F.least(F.ceil(col("maxx")), F.lit(width)), "c1"),
+        whole(F.greatest(F.floor(row("maxy")), F.lit(0)), "r0"), whole(F.least(F.ceil(row("miny")), F.lit(height)), "r1"),
+    )
+
+
+def supported(fires: DataFrame, years: tuple[int, int] = C.YEARS) -> DataFrame:
+    """The fires of years that have scenes on both sides."""
+    return fires.where(F.col("year").between(*years))
+
+
+def by_time(scenes: DataFrame, n: int) -> DataFrame:
+    """scene_id, place: the first n scenes by time, those without a time first; ties by id."""
+    order = [F.col("acq_date").asc_nulls_first(), F.col("scene_id")]
+    return scenes.orderBy(*order).limit(n).select("scene_id", F.row_number().over(W.orderBy(*order)).alias("place"))

@@ -17,6 +17,8 @@ FIRE_TYPES = (0, 1, 3)
 QA_BITS = (0, 1, 3, 4, 5, 7)
 SCALE, OFFSET = 0.0000275, -0.2
 MAX_CLOUD = 80.0
+#: First and last supported year of a fire.
+YEARS = (1986, 2020)
 SQUARE_METRES_PER_ACRE = 4046.8564224
 #: Split threshold: acres of bounding box, shared by the workers.
 SPLIT_ACRES = 300_000

@@ -56,16 +56,16 @@ def composite(pixels: DataFrame, year: int, keys=("row", "col"), names=("nbr", "
     return pixels.where(F.col("yr").between(year - 2, year + 2) & (F.col("yr") != year)).groupBy(*keys).agg(*out)
 
 
-def predictors(comp: DataFrame) -> DataFrame:
-    """comp with dnbr, rbr (from the truncated dnbr), dndvi, dmirbi and post_mirbi, as whole units."""
+def predictors(comp: DataFrame, digits: int | None = None) -> DataFrame:
+    """comp with dnbr, rbr (from the truncated dnbr), dndvi, dmirbi and post_mirbi, as whole units; digits as in trunc_scaled()."""
     c = F.col
-    cut = comp.withColumn("dnbr", trunc_scaled(c("pre_nbr") - c("post_nbr"))).withColumn("post_mirbi_units", trunc_scaled(c("post_mirbi")))
+    cut = comp.withColumn("dnbr", trunc_scaled(c("pre_nbr") - c("post_nbr"), digits=digits)).withColumn("post_mirbi_units", trunc_scaled(c("post_mirbi"), digits=digits))
     return cut.select(
         *[x for x in comp.columns if x != "post_mirbi"],
         "dnbr",
-        trunc0(F.round(ieee_div(c("dnbr"), c("pre_nbr") + 1.001), 6)).alias("rbr"),
-        trunc_scaled(c("pre_ndvi") - c("post_ndvi")).alias("dndvi"),
-        trunc_scaled(c("pre_mirbi") - c("post_mirbi")).alias("dmirbi"),
+        trunc_scaled(ieee_div(c("dnbr"), c("pre_nbr") + 1.001), 1.0, digits).alias("rbr"),
+        trunc_scaled(c("pre_ndvi") - c("post_ndvi"), digits=digits).alias("dndvi"),
+        trunc_scaled(c("pre_mirbi") - c("post_mirbi"), digits=digits).alias("dmirbi"),
         c("post_mirbi_units").alias("post_mirbi"),
     )
 
@@ -98,8 +98,8 @@ class Forest:
         return total / len(self.trees)
 
 
-def score(pixels: DataFrame, forest: Forest) -> DataFrame:
-    """pixels with cbi and cbi_bc; NULL where a predictor is missing or infinite.
+def score(pixels: DataFrame, forest: Forest, digits: int | None = None) -> DataFrame:
+    """pixels with cbi and cbi_bc; NULL where a predictor is missing or infinite. digits as in floor2().
 
     The forest is a model of fixed size and travels with the function; Arrow carries the predictors in batches.
     """
@@ -115,14 +115,14 @@ def score(pixels: DataFrame, forest: Forest) -> DataFrame:
     # said to be nondeterministic so that filters on the score aren't copied below it, each copy scoring again
     predict = predict.asNondeterministic()
     valid = functools.reduce(lambda a, b: a & b, [is_finite(F.col(f)) for f in forest.features])
-    raw = F.when(valid, floor2(predict(F.struct(*[F.col(f).cast("double").alias(f) for f in forest.features]))))
-    return bias_corrected(pixels.withColumn("cbi", raw))
+    raw = F.when(valid, floor2(predict(F.struct(*[F.col(f).cast("double").alias(f) for f in forest.features])), digits))
+    return bias_corrected(pixels.withColumn("cbi", raw), digits)
 
 
-def bias_corrected(df: DataFrame) -> DataFrame:
+def bias_corrected(df: DataFrame, digits: int | None = None) -> DataFrame:
     """cbi_bc: steeper below and above 1.5, within [0, 3], to hundredths."""
     d = F.col("cbi") - 1.5
-    return df.withColumn("cbi_bc", floor2(clip(F.when(F.col("cbi") <= 1.5, d * 1.3 + 1.5).otherwise(d * 1.175 + 1.5), *C.CBI_RANGE)))
+    return df.withColumn("cbi_bc", floor2(clip(F.when(F.col("cbi") <= 1.5, d * 1.3 + 1.5).otherwise(d * 1.175 + 1.5), *C.CBI_RANGE), digits))
 
 
 def train_forest(rows: DataFrame, trees: int = 500, seed: int = 123, features=C.PREDICTORS, target: str = "cbi"):
@@ -134,3 +134,22 @@ def train_forest(rows: DataFrame, trees: int = 500, seed: int = 123, features=C.
     least = max(1, round(full.count() / 75 / 6))
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(full)
     return RandomForestRegressor(labelCol=target, numTrees=trees, minInstancesPerNode=least, featureSubsetStrategy="sqrt", seed=seed).fit(data), data
+
+
+def held_out(model, rows: DataFrame, features=C.PREDICTORS, target: str = "cbi") -> DataFrame:
+    """One row: how well a trained forest tells the target of complete rows it was not trained on."""
+    from pyspark.ml.feature import VectorAssembler
+
+    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(rows.dropna(subset=[*features, target]))
+    t, p = F.col(target), F.col("prediction")
+    return model.transform(data).agg(F.count("*").alias("n"), (1 - F.sum((t - p) ** 2) / F.nullif(F.var_pop(t) * F.count("*"), F.lit(0.0))).alias("r2"), F.sqrt(F.avg((t - p) ** 2)).alias("rmse"))
+
+
+def save_forest(model, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_forest(path: str):
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    return RandomForestRegressionModel.load(path)

@@ -112,8 +112,11 @@ def raster_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_severity(pixels: DataFrame, path: str) -> None:
-    """pixels(year, event_id, row, col, cbi, cbi_bc) as Parquet, a folder for each fire; fires already there are replaced."""
-    pixels.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "event_id").parquet(path)
+    """pixels(year, event_id, row, col, cbi, cbi_bc) as Parquet, a folder for each fire; fires already there are replaced.
+
+    Rows are gathered by fire, a file for most; a large fire is split where adaptive execution finds it.
+    """
+    pixels.hint("rebalance", "year", "event_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "event_id").parquet(path)
 
 
 def finished(spark: SparkSession, path: str) -> DataFrame:

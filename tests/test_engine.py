@@ -1,8 +1,11 @@
+import io
 import math
 import sqlite3
 import struct
+import zlib
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +13,10 @@ from pyspark.sql import functions as F
 from cinderframe.functions import numeric
 from cinderframe.functions.geo import Albers, Utm
 from cinderframe.operators import analysis, raster, spectral
+from cinderframe.plans import extras  # noqa: F401
 from cinderframe.plans.catalogue import ORACLE_SQL, QUERIES
-from cinderframe.sources import vector
+from cinderframe.__main__ import main
+from cinderframe.sources import files, geotiff, vector
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -97,6 +102,108 @@ def test_scenes(spark, tmp_path):
     assert (r["scene_id"], r["epsg"], r["lat_n"], r["assets"]) == ("a", 32611, 4.0, {"red": "s3://x/r.tif"})
 
 
+def test_all_bins(spark):
+    """Every severity to hundredths falls where double edges put its single-precision value."""
+    values = [i / 100 for i in range(301)]
+    got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(analysis.cbi_bin(F.col("v"))).collect()]
+    edges = np.linspace(0, 3, 61)
+    want = np.minimum(np.searchsorted(edges, np.float32(values).astype(float), side="right") - 1, 59)
+    assert got == want.tolist() and got[35] == 6
+
+
+def test_floor2_in_single_precision(spark):
+    values = np.random.default_rng(1).uniform(0, 3, 2000).astype(np.float32)
+    got = [r[0] for r in spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(numeric.floor2(F.col("v"))).collect()]
+    assert got == [float(np.float32(np.floor(v * np.float32(100)) / np.float32(100))) for v in values]
+
+
+def strips(a, predictor):
+    """A little-endian file of deflated strips of three rows."""
+    rows = [a[i : i + 3] for i in range(0, len(a), 3)]
+    parts = [zlib.compress((np.diff(r, axis=1, prepend=r[:, :1] * 0) if predictor == 2 else r).astype("<u2").tobytes()) for r in rows]
+    at = np.cumsum([8, *map(len, parts)])
+    n, ifd = len(parts), int(at[-1])
+    tags = [(256, 3, [a.shape[1]]), (257, 3, [a.shape[0]]), (258, 3, [16]), (259, 3, [8]), (273, 4, at[:-1].tolist()), (278, 3, [3]), (279, 4, [len(p) for p in parts]), (317, 3, [predictor])]
+    tags += [(33550, 12, [30.0, 30.0, 0.0]), (33922, 12, [0.0, 0.0, 0.0, 100.0, 900.0, 0.0]), (42113, 2, [b"0", b"\0"])]
+    head, extra, end = b"", b"", ifd + 2 + 12 * len(tags) + 4
+    for tag, kind, values in tags:
+        body = struct.pack(f"<{len(values)}{geotiff.TYPES[kind][1]}", *values)
+        head += struct.pack("<HHI", tag, kind, len(values)) + (body.ljust(4, b"\0") if len(body) <= 4 else struct.pack("<I", end + len(extra)))
+        extra += body if len(body) > 4 else b""
+    return struct.pack("<2sHI", b"II", 42, ifd) + b"".join(parts) + struct.pack("<H", len(tags)) + head + struct.pack("<I", 0) + extra
+
+
+@pytest.mark.parametrize("predictor", [1, 2])
+def test_geotiff_of_strips(predictor):
+    a = np.random.default_rng(predictor).integers(0, 9, (10, 7)).astype(np.uint16)
+    r = geotiff.Raster(io.BytesIO(strips(a, predictor)))
+    want = np.where(a == 0, np.nan, a.astype(float))
+    assert (r.left, r.top, r.size, r.epsg) == (100.0, 900.0, 30.0, None)
+    np.testing.assert_array_equal(r.window(0, 0, 10, 7), want)
+    np.testing.assert_array_equal(r.window(-2, 5, 14, 4), np.pad(want, ((2, 2), (0, 2)), constant_values=np.nan)[:, 5:9])
+    assert np.isnan(r.window(50, 50, 2, 2)).all() and r.aligned(130, 810, 190, 870) == (-1, -1, 6, 6)
+
+
+def test_geotiff_of_tiles():
+    a = np.random.default_rng(0).random((300, 520)).astype(np.float32)
+    a[5, 5] = np.nan
+    r = geotiff.Raster(io.BytesIO(geotiff.encoded(a, 1000.0, 9000.0, 30.0, 5070)))
+    assert (r.left, r.top, r.size, r.epsg, r.width, r.height) == (1000.0, 9000.0, 30.0, 5070, 520, 300)
+    np.testing.assert_array_equal(r.window(0, 0, 300, 520), a.astype(float))
+    np.testing.assert_array_equal(r.window(250, 500, 10, 20), a[250:260, 500:].astype(float))
+
+
+def test_write_tells_of_errors(spark, tmp_path):
+    px = spark.createDataFrame([("a.tif", 0, 0, 15.0, 85.0, 1.5), ("a.tif", 1, 1, 45.0, 55.0, None), ("no/b.tif", 0, 0, 15.0, 85.0, 2.0)], "file string, row int, col int, x double, y double, value double")
+    (tmp_path / "no").write_text("a file, not a folder")
+    got = {r["file"]: r for r in geotiff.write(px, str(tmp_path), 5070).collect()}
+    assert got["a.tif"]["error"] is None and got["a.tif"]["n_valid"] == 1 and got["no/b.tif"]["error"]
+    geotiff.register(spark)
+    rows = {(r["row"], r["col"]): (r["x"], r["y"], r["value"]) for r in spark.read.format("geotiff").load(str(tmp_path / "a.tif")).collect()}
+    assert rows[0, 0] == (15.0, 85.0, 1.5) and rows[1, 1] == (45.0, 55.0, None) and len(rows) == 4
+
+
+def test_training_csv_and_forest(spark, tmp_path):
+    draw = np.random.default_rng(2)
+    x = draw.random((400, 6)) * 100
+    frame = pd.DataFrame(x, columns=list(spectral.C.PREDICTORS)).assign(CBI=x[:, 2] / 40, unused="u")
+    frame.to_csv(tmp_path / "train.csv", index=False)
+    rows = files.training_rows(spark, str(tmp_path / "train.csv")).withColumnRenamed("CBI", "cbi")
+    assert rows.columns == [*spectral.C.PREDICTORS, "cbi"] and rows.count() == 400
+    model, _ = spectral.train_forest(rows.where("lat < 80"), trees=30)
+    spectral.save_forest(model, str(tmp_path / "model"))
+    assert spectral.held_out(spectral.load_forest(str(tmp_path / "model")), rows.where("lat >= 80")).first()["r2"] > 0.7
+
+
+def test_split_polygon_with_a_hole(spark):
+    outer, hole = [(0, 0), (40, 0), (40, 40), (0, 40)], [(5, 5), (5, 10), (10, 10), (10, 5)]
+    pieces = list(raster.split_rings([outer, hole], 500))
+    area = sum(raster.ring_area(p[0]) - sum(map(raster.ring_area, p[1:])) for p in pieces)
+    assert len(pieces) == 4 and area == 1600 - 25
+    edges = [dict(ring=k, x1=float(a[0]), y1=float(a[1]), x2=float(b[0]), y2=float(b[1])) for k, r in enumerate((outer, hole)) for a, b in zip(r, r[1:] + r[:1], strict=True)]
+    rows = raster.split_polygons(spark.createDataFrame([("e", edges), ("none", None)], "event_id string, edges array<struct<ring:int,x1:double,y1:double,x2:double,y2:double>>"), 500).collect()
+    assert sorted(r["piece"] for r in rows) == [0, 1, 2, 3] and all(r["event_id"] == "e" for r in rows)
+
+
+def test_raster_paths(spark, tmp_path):
+    for name in ("1997/MT1_CBI.tif", "1997/MT1_CBI_bc.TIF", "1998/ca2_CBI.tiff", "1998/notes.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    got = [(r["year"], r["event_id"], r["state"], r["band"]) for r in files.targets(files.raster_paths(spark, str(tmp_path))).collect()]
+    assert got == [(1997, "MT1", "MT", "raw"), (1997, "MT1", "MT", "bc"), (1998, "ca2", "CA", "raw")]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    assert main(["queries"]) == 0 and "fire_pipeline" in capsys.readouterr().out
+    assert main(["query", "nothing", "--data", SMALL, "--out", str(tmp_path / "o")]) == 2
+    assert main(["query", "state_bbox", "--data", SMALL, "--out", str(tmp_path / "o"), "--format", "csv"]) == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "o")).count() > 0
+    with pytest.raises(SystemExit):
+        main(["fires", "x.gpkg", "--out", "o", "--states", "ZZ"])
+    with pytest.raises(SystemExit):
+        main(["fires", "x.gpkg", "--out", "o", "--first", "1900"])
+
+
 def frames(spark, name):
     db = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
