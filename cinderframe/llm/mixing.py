@@ -94,7 +94,6 @@ def digits() -> list[tuple[str, int]]:
 
 def plan(rows: DataFrame) -> DataFrame:
     """A row for each source of keyed() rows: of (source), source_size, target, epochs, cut (place, tie of the last row taken once more; null: none)."""
-    sums = None
     open_rows, known = rows, None
     for name, shift in digits():
         # the digits above this one are those at which the targets are reached
@@ -109,7 +108,7 @@ def plan(rows: DataFrame) -> DataFrame:
         order = W.partitionBy("source").orderBy("digit").rowsBetween(W.unboundedPreceding, -1)
         reached = (
             sums.withColumn("sum", F.coalesce(F.sum("words").over(order), F.lit(0)))
-            .join(known, F.col("source").eqNullSafe(F.col("of")))
+            .join(known.select("of", "rest", "before"), F.col("source").eqNullSafe(F.col("of")))
             .withColumn("before", F.col("before") + F.col("sum"))
             .where("words > 0 and before < rest and before + words >= rest")
             .select("of", "rest", "before", F.col("digit").alias("reached"), "rows")

@@ -24,6 +24,8 @@ from cinderframe.llm.common import stash
 
 #: Rows that one bucket of a shard has about; a bucket is numbered in one task.
 BUCKET_ROWS = 100_000
+#: Slots of one row that are listed at once.
+RANGE = 10_000
 
 
 def jump(key: np.ndarray, shards: int) -> np.ndarray:
@@ -67,12 +69,15 @@ def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text")
     before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = rows.groupBy("shard", "bucket").agg(F.sum("n").alias("n")).select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     placed = rows.withColumn("first", F.coalesce(F.sum("n").over(within), F.lit(0))).join(starts, ["shard", "bucket"])
+    # a row that repeats often is cut into ranges, so that no array holds all of its slots
+    placed = placed.withColumn("from", F.col("start") + F.col("first")).withColumn("to", F.col("from") + F.col("n") - 1)
+    placed = placed.withColumn("at", F.explode(F.sequence("from", "to", F.lit(RANGE).cast("bigint"))))
     return placed.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("key").alias("law"),
         "shard",
-        F.explode(F.sequence(F.col("start") + F.col("first"), F.col("start") + F.col("first") + F.col("n") - 1)).alias("slot"),
+        F.explode(F.sequence(F.col("at"), F.least(F.col("at") + RANGE - 1, F.col("to")))).alias("slot"),
         "grown_shard",
     )

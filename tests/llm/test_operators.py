@@ -81,6 +81,28 @@ def test_sharding(docs):
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
 
 
+def jump_by_definition(key, shards):
+    """The published loop, with Python's own numbers."""
+    b, j = -1, 0
+    while j < shards:
+        b = j
+        key = (key * 2862933555777941757 + 1) % 2**64
+        j = int((b + 1) * (2**31 / ((key >> 33) + 1)))
+    return b
+
+
+def test_sharding_by_definition(spark, docs):
+    keys = {r["doc_id"]: r["h"] % 2**64 for r in local(docs.select("doc_id", F.xxhash64("doc_id").alias("h")))}
+    for r in local(sharding.shard(docs, 40)):
+        assert (r["shard"], r["grown_shard"]) == (jump_by_definition(keys[r["doc_id"]], 40), jump_by_definition(keys[r["doc_id"]], 41))
+
+
+def test_a_row_that_repeats(spark):
+    many = spark.range(25_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    rows = sharding.shard(many, 40)
+    assert rows.agg(F.count("*"), F.min("slot"), F.max("slot"), F.count_distinct("slot")).first()[:] == (25_000, 0, 24_999, 25_000)
+
+
 def test_jump_moves_the_necessary_share():
     keys = np.random.default_rng(0).integers(0, 2**63, 20_000).astype(np.uint64)
     a, b = sharding.jump(keys, 40), sharding.jump(keys, 41)
@@ -355,6 +377,77 @@ def near_pairs(texts):
     return near
 
 
+def test_odd_rows(spark, docs):
+    """Nulls, empty and very long texts, and repeated rows, where the operators keep or judge rows."""
+    odd = spark.createDataFrame([*ODD, (20, "tie " * 200_000, "en", "t", 800_000)], SCHEMA)
+    cls = {r["doc_id"]: r for r in local(near_dedup.classes(odd))}
+    assert cls[1]["class_id"] == cls[2]["class_id"] == cls[5]["class_id"] == 1 and cls[3]["class_id"] == cls[4]["class_id"] == 3 and cls[None]["class_id"] is None
+    kept = local(near_dedup.keep_one(odd))
+    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept) == [(False, i) for i in (1, 3, 6, 7, 8, 9, 20)] + [(True, None)]
+    judged = local(quality_rules.judge(odd))
+    assert len(judged) == 12 and [r["base_failed"] for r in judged if r["doc_id"] in (1, 2, 5, 7, 20)] == [True] * 6 and {r["n_words"] for r in judged if r["doc_id"] == 20} == {200_000}
+    assert local(quality_rules.keep_good(odd)) == []
+    labels = spark.createDataFrame([(8, 1, 0), (9, 0, 1), (99, 1, 1), (None, None, 1)], "doc_id long, quality int, toxic int")
+    assert sorted(r["doc_id"] is None for r in local(quality_classifier.classify(odd, labels))) == [False] * 11 + [True]
+    pages = spark.createDataFrame([(1, "u", "<p>", "x", "y", "z")], "page_id long, url string, html string, payload string, sha1 string, refers_to string")
+    assert local(warc.roundtrip(pages))[0]["payload_bytes"] == 3
+
+
+def test_sites_leave_the_document_out(spark):
+    """A document's posterior is its own evidence and that of the others of its site, by the formulas."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_classifier.classify(docs, labels).join(docs.select("doc_id", "source", "lang"), "doc_id").toPandas()
+    p = 1 / (1 + np.exp(-rows["own"]))
+    world = (p.sum() + 0.5) / (len(p) + 1)
+
+    def shrink(groups, above):
+        rate, n = groups["good"] / groups["n"], groups["n"]
+        spread, noise = (n * (rate - above) ** 2).sum() / n.sum(), (above * (1 - above)).sum() / n.sum()
+        return min(max((above * (1 - above)).mean() / max(spread - noise, 1e-9), 2.0), 1000.0)
+
+    sums = lambda by: p.groupby([rows[c] for c in by]).agg(good="sum", n="count")
+    hosts, paths = sums(["source"]), sums(["source", "lang"])
+    host_m = shrink(hosts, pd.Series(world, hosts.index))
+    above = (hosts["good"] + host_m * world) / (hosts["n"] + host_m)
+    path_m = shrink(paths, pd.Series(above.loc[paths.index.get_level_values(0)].to_numpy(), paths.index))
+    for i, r in rows.iterrows():
+        h, q = hosts.loc[r["source"]], paths.loc[(r["source"], r["lang"])]
+        host = (h["good"] - p[i] + host_m * world) / (h["n"] - 1 + host_m)
+        path = (q["good"] - p[i] + path_m * host) / (q["n"] - 1 + path_m)
+        z = r["own"] + np.log(path / (1 - path)) - np.log(world / (1 - world))
+        assert r["quality"] == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-6)
+
+
+def test_rules_order_is_the_same_each_time(docs):
+    rules = quality_rules.base_rules() + quality_rules.default_rules()
+    assert len({tuple(r.name for r in quality_rules.sampled(docs, "doc_id", "text", rules)) for _ in range(3)}) == 1
+
+
+def test_many_addresses(spark):
+    """Spans and redaction of a text of nothing but addresses: time in proportion to their number."""
+    n = 20_000
+    docs = spark.createDataFrame([(1, " ".join(f"u{i}@ex.com" for i in range(n)))], "doc_id long, text string")
+    assert local(pii.report(pii.find(docs)))[0]["n_email"] == n and local(pii.redact(docs))[0]["text"] == " ".join(["[EMAIL]"] * n)
+
+
+def test_mixing_takes_the_least_keys(spark, monkeypatch):
+    """The rows taken once more are those of least place within their source, whatever the bucket size; equal rows too."""
+    rows = [(i % 700, f"{'a b c d e f g h'[: 2 * (i % 8) + 1]} {i % 700}", "st"[i % 5 == 0]) for i in range(2800)] + [(1, "same text", "s")] * 900
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4).cache()
+    whole = local(mixing.mix(docs))
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
+    fine = mixing.mix(docs).toPandas()
+    for source, g in fine.groupby("source"):
+        assert abs(g["taken"].sum() - g["target"].iloc[0]) <= g["size"].max()
+        assert abs(sum(r["taken"] for r in whole if r["source"] == source) - g["target"].iloc[0]) <= g["size"].max()
+    keyed = mixing.keyed(docs, "doc_id", "text", "source", 0).toPandas()
+    for source, g in fine.groupby("source"):
+        places = keyed[keyed["source"] == source].groupby(["doc_id", "size"])["place"].first()
+        own = places.loc[list(zip(g["doc_id"], g["size"], strict=True))].to_numpy()
+        top = (g["times"] == g["times"].max()).to_numpy()
+        assert top.all() or own[top].max() <= own[~top].min()
+
+
 def test_near_dedup_against_all_pairs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts, rows = {d["doc_id"]: WORD.findall(d["text"]) for d in local(docs)}, {r["doc_id"]: r for r in local(near_dedup.classes(docs))}
@@ -436,6 +529,76 @@ def test_classifier_on_held_out_labels(spark):
     assert clean["kept"].mean() > 0.97
 
 
+def rejected(text):
+    """The base and the rules, as their definitions say them."""
+    w = WORD.findall(text)
+    n, chars = len(w), sum(map(len, w))
+    grams = collections.Counter(zip(w, w[1:], w[2:]))  # noqa: B905
+    repeat = len({j for i, g in enumerate(zip(w, w[1:], w[2:])) if grams[g] > 1 for j in (i, i + 1, i + 2)})  # noqa: B905
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    count = lambda cls: len(re.findall(cls, text))
+    return (
+        n < 50 or 100 * repeat > 50 * n or count("[#*$%&|<>]") > 0.2 * n or count("[A-Z]") > 0.4 * chars or count("[!?]") > 0.3 * n
+        or chars > 20 * n or len(lines) - len(set(lines)) > 0.5 * len(lines)
+    )
+
+
+def test_pipeline_stages_by_brute_force(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    real = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = real.withColumn("doc_id", F.col("doc_id") + 1000)
+    rows = rows.unionByName(rows.limit(3)).unionByName(rows.limit(2).withColumn("source", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("long"))).unionByName(spark.createDataFrame(ODD, SCHEMA))
+    rows.coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    bag = lambda frame: collections.Counter(tuple(r) for r in frame)
+    steps = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.collect()
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        steps[name] = (before, docs.collect())
+    before, after = steps["quality_rules"]
+    assert bag(after) == bag(r for r in before if not rejected(r["text"] or "")) and 0 < len(after) < len(before)
+    before, after = steps["near_dedup"]
+    texts = [WORD.findall(r["text"]) for r in before]
+    root = list(range(len(texts)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    pairs = near_pairs(dict(enumerate(texts))) + [p for p in itertools.combinations(range(len(texts)), 2) if texts[p[0]] == texts[p[1]]]
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    groups = {find(i) for i in range(len(texts))}
+    of = {before[i]["text"]: find(i) for i in range(len(texts))}
+    assert {of[r["text"]] for r in after} == groups and len(groups) <= len(after) <= len(groups) + 0.02 * len(pairs) and not bag(after) - bag(before)
+    before, after = steps["pii"]
+    spans = {r["doc_id"]: [x.split(":") for x in r["spans"].split(",") if x] for r in local(pii.report(pii.find(spark.createDataFrame(before, SCHEMA))))}
+    want = []
+    for r in before:
+        out, at = "", 0
+        for kind, a, b in spans[r["doc_id"]]:
+            if int(a) >= at:
+                out += r["text"][at : int(a)] + f"[{kind.upper()}]"
+            at = max(at, int(b))
+        out += r["text"][at:]
+        want.append((r["doc_id"], out, r["lang"], r["source"], len(out)))
+        assert {(k, int(a), int(b)) for k, a, b in spans[r["doc_id"]]} >= {(pii.KINDS[k].name, a, b) for a, k, b in base_spans(r["text"])}
+    assert bag(after) == bag(want)
+    before, after = steps["mixing"]
+    times = {(r["doc_id"], r["source"]): r for r in local(mixing.mix(spark.read.parquet(f"{tmp_path}/pii")))}
+    assert bag(after) == collections.Counter({tuple(r): t for r in before if (t := times[r["doc_id"], r["source"]]["times"])})
+    before, after = steps["packing"]
+    plain, want = Tokenizer.from_file(registry.tokenizer_path()), collections.Counter()
+    for r in before:
+        ids = plain.encode(r["text"], add_special_tokens=False).ids + [2]
+        start = 0
+        for length, _ in packing.cut(len(ids)):
+            want[r["doc_id"], start, length, zlib.crc32(np.asarray(ids[start : start + length], "<u4").tobytes()), len(ids)] += 1
+            start += length
+    assert collections.Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in after) == want
+    assert bag(r[:5] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == bag(r[:5] for r in after)
+
+
 @pytest.mark.parametrize("name", registry.ORACLE_SQL)
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
