@@ -33,8 +33,21 @@ def without(fires: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def at_index(fires: DataFrame, index: int) -> DataFrame:
-    """The fire at a 0-based place in catalogue order."""
-    return fires.orderBy("ordinal").offset(index).limit(1)
+    """The fire at a 0-based place in catalogue order; IndexError if there are fewer fires."""
+    if index < 0:
+        raise IndexError(f"place {index} is negative")
+    found = fires.orderBy("ordinal").offset(index).limit(1)
+    if found.isEmpty():
+        raise IndexError(f"no fire at place {index}")
+    return found
+
+
+def by_id(fires: DataFrame, event_id: str) -> DataFrame:
+    """The rows of one fire; LookupError if there are none."""
+    found = fires.where(F.col("event_id") == event_id)
+    if found.isEmpty():
+        raise LookupError(f"no fire {event_id}")
+    return found
 
 
 def largest(fires: DataFrame, n: int = 10) -> DataFrame:
@@ -103,3 +116,8 @@ def by_time(scenes: DataFrame, n: int) -> DataFrame:
     """scene_id, place: the first n scenes by time, those without a time first; ties by id."""
     order = [F.col("acq_date").asc_nulls_first(), F.col("scene_id")]
     return scenes.orderBy(*order).limit(n).select("scene_id", F.row_number().over(W.orderBy(*order)).alias("place"))
+
+
+def scene_counts(found: DataFrame) -> DataFrame:
+    """search_scenes()'s rows by fire and year relative to the fire."""
+    return found.groupBy("event_id", "rel_year").agg(F.count("*").alias("n"))

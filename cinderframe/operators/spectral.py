@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,12 @@ def composite(pixels: DataFrame, year: int, keys=("row", "col"), names=("nbr", "
     return pixels.where(F.col("yr").between(year - 2, year + 2) & (F.col("yr") != year)).groupBy(*keys).agg(*out)
 
 
+def missing_shares(pixels: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row: how many pixels, and the percentage of each column that is missing or NaN; null if there are no pixels."""
+    share = lambda n: (F.avg((F.col(n).isNull() | F.isnan(n)).cast("double")) * 100).alias(f"{n}_missing")
+    return pixels.agg(F.count("*").alias("n"), *[share(n) for n in names])
+
+
 def predictors(comp: DataFrame, digits: int | None = None) -> DataFrame:
     """comp with dnbr, rbr (from the truncated dnbr), dndvi, dmirbi and post_mirbi, as whole units; digits as in trunc_scaled()."""
     c = F.col

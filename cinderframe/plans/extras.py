@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cinderframe.functions.geo import Albers, Utm
-from cinderframe.operators import analysis, catalog, raster
+from cinderframe.operators import analysis, catalog, raster, spectral
 from cinderframe.plans import run
-from cinderframe.plans.catalogue import CTES, EAST0, FIRE_FILTER, NORTH0, ZONE, fires, histogram, matched, plots, query, selected, severity, view
-from cinderframe.sources import files, geotiff
+from cinderframe.plans.catalogue import CTES, EAST0, FIRE_FILTER, NORTH0, ORACLE_SQL, ZONE, composites, fires, histogram, matched, plots, query, selected, severity, view
+from cinderframe.sources import files, geotiff, vector
 
 YEARS_SQL = "(SELECT unnest([1997, 1998, 1999]) AS year)"
 CTES["hist_years"] = f"SELECT y.year, h.bin, h.mtbs_class, h.land_cover, h.n + y.year - 1997 AS n FROM hist h, {YEARS_SQL} y"
@@ -138,8 +138,6 @@ def scene_cache(spark, sf_dir):
 @query("SELECT lat_idx, lon_idx, def FROM def_year")
 def climate_roundtrip(spark, sf_dir):
     """The annual deficit as a table of whole units, a missing cell kept as missing."""
-    from cinderframe.operators import spectral
-
     path = files.work_folder(spark, "climate")
     spectral.annual_deficit(view(spark, sf_dir, "fx_def_month")).withColumn("def", F.col("def").cast("int")).write.parquet(path)
     return spark.read.parquet(path).withColumn("def", F.col("def").cast("double"))
@@ -223,3 +221,51 @@ def severity_by_cover(spark, sf_dir):
     cover = items.groupBy(s.alias("row"), p.alias("col"), F.year("l_shipdate").alias("year")).agg(F.max("l_linenumber").alias("code"))
     px = severity(spark, sf_dir).select("row", "col", F.col("cbi_bc").alias("cbi"), F.lit(1998).alias("year"))
     return analysis.with_classes(px, classes, cover).select("row", "col", "cbi", "mtbs", "code")
+
+
+COMPOSITES = ("pre_nbr", "post_nbr", "pre_mirbi", "post_mirbi")
+
+
+@query("SELECT count(*) AS n, " + ", ".join(f"round(avg(CASE WHEN {c} IS NULL THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 8) AS {c}_missing" for c in COMPOSITES) + " FROM comp")
+def composite_missing(spark, sf_dir):
+    """The percentage of pixels that each composite lacks."""
+    shares = spectral.missing_shares(composites(spark, sf_dir), COMPOSITES)
+    return shares.select("n", *[F.round(f"{c}_missing", 8).alias(f"{c}_missing") for c in COMPOSITES])
+
+
+@query("SELECT event_id, rel_year, count(*) AS n FROM (" + ORACLE_SQL["scene_search"][ORACLE_SQL["scene_search"].index("SELECT event_id, scene_id, CAST(year(acq_date)") :] + ") GROUP BY 1, 2")
+def scene_counts_by_fire(spark, sf_dir):
+    """How many scenes a fire has in each year around it."""
+    return catalog.scene_counts(catalog.search_scenes(selected(spark, sf_dir), view(spark, sf_dir, "fx_scene")))
+
+
+@query("SELECT CAST(p_partkey AS DOUBLE) AS def, CAST(p_partkey % 50 AS DOUBLE) AS lat, CAST(p_size AS DOUBLE) AS rbr, CAST(p_size * -3 AS DOUBLE) AS dmirbi, CAST(p_partkey % 7 AS DOUBLE) AS dndvi, CASE WHEN p_partkey % 11 <> 0 THEN CAST(p_size * 10 AS DOUBLE) END AS post_mirbi, CAST(p_partkey % 300 AS DOUBLE) / 100 AS \"CBI\" FROM part")
+def training_csv_roundtrip(spark, sf_dir):
+    """A training table with a further column and columns in another order, written as CSV and read by name."""
+    path = files.work_folder(spark, "training")
+    k, size = F.col("p_partkey"), F.col("p_size").cast("double")
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        ((k % 300).cast("double") / 100).alias("CBI"), F.col("p_name").alias("note"), F.when(k % 11 != 0, size * 10).alias("post_mirbi"), (k % 7).cast("double").alias("dndvi"),
+        (size * -3).alias("dmirbi"), size.alias("rbr"), (k % 50).cast("double").alias("lat"), k.cast("double").alias("def"),
+    )
+    files.write_csv(rows, path)
+    return files.training_rows(spark, path)
+
+
+@query("SELECT scene_id, CAST(acq_date AS VARCHAR) AS acq_date, cloud_cover, CAST(32600 + CAST(right(scene_id, 1) AS INT) AS INT) AS epsg, lon_w, lat_s, lon_e, lat_n, 's3://scenes/' || scene_id || '/red.tif' AS red FROM fx_scene")
+def scene_json_roundtrip(spark, sf_dir):
+    """Scenes written as search results, pages of JSON features, and read back; one scene in three has an empty id of its own and is known by its item's."""
+    path = files.work_folder(spark, "items")
+    s, known = view(spark, sf_dir, "fx_scene"), F.pmod(F.xxhash64("scene_id"), F.lit(3)) > 0
+    properties = F.struct(
+        F.concat(F.col("acq_date").cast("string"), F.lit("T12:00:00Z")).alias("datetime"), F.concat(F.lit("EPSG:3260"), F.substring("scene_id", -1, 1)).alias("proj:code"),
+        F.col("cloud_cover").alias("eo:cloud_cover"), F.when(known, F.col("scene_id")).otherwise("").alias("landsat:scene_id"),
+    )
+    asset = F.create_map(F.lit("red"), F.struct(F.concat(F.lit("s3://scenes/"), "scene_id", F.lit("/red.tif")).alias("href")))
+    item = F.struct(F.when(known, "item").otherwise(F.col("scene_id")).alias("id"), F.array("lon_w", "lat_s", "lon_e", "lat_n").alias("bbox"), properties.alias("properties"), asset.alias("assets"))
+    # about 1,000 features a page, as searches give them
+    n_pages = max(1, s.count() // 1000)
+    pages = s.groupBy(F.pmod(F.xxhash64("scene_id", F.lit(1)), F.lit(n_pages)).alias("page")).agg(F.collect_list(item).alias("features"))
+    pages.drop("page").write.option("maxRecordsPerFile", 1).json(path)
+    read = vector.scenes(spark, path)
+    return read.select("scene_id", F.date_format("acq_ts", "yyyy-MM-dd").alias("acq_date"), "cloud_cover", "epsg", "lon_w", "lat_s", "lon_e", "lat_n", F.col("assets")["red"].alias("red"))

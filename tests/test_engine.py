@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cinderframe.functions import numeric
 from cinderframe.functions.geo import Albers, Utm
-from cinderframe.operators import analysis, raster, spectral
+from cinderframe.operators import analysis, catalog, raster, spectral
 from cinderframe.plans import extras  # noqa: F401
 from cinderframe.plans.catalogue import ORACLE_SQL, QUERIES
 from cinderframe.__main__ import main
@@ -185,6 +185,22 @@ def test_split_polygon_with_a_hole(spark):
     assert sorted(r["piece"] for r in rows) == [0, 1, 2, 3] and all(r["event_id"] == "e" for r in rows)
 
 
+def test_fire_lookup_errors(spark):
+    fires = spark.createDataFrame([("a", 0), ("b", 1)], "event_id string, ordinal int")
+    assert catalog.by_id(fires, "b").first()["ordinal"] == catalog.at_index(fires, 1).first()["ordinal"] == 1
+    with pytest.raises(LookupError):
+        catalog.by_id(fires, "c")
+    for place in (2, -1):
+        with pytest.raises(IndexError):
+            catalog.at_index(fires, place)
+
+
+def test_missing_shares(spark):
+    px = spark.createDataFrame([(1.0, None), (math.nan, 2.0), (None, 3.0), (4.0, 4.0)], "a double, b double")
+    assert tuple(spectral.missing_shares(px, ["a", "b"]).first()) == (4, 50.0, 25.0)
+    assert tuple(spectral.missing_shares(px.where("b > 9"), ["a"]).first()) == (0, None)
+
+
 def test_raster_paths(spark, tmp_path):
     for name in ("1997/MT1_CBI.tif", "1997/MT1_CBI_bc.TIF", "1998/ca2_CBI.tiff", "1998/notes.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
