@@ -116,9 +116,17 @@ def match_plots(plots: DataFrame, tiles: DataFrame, pixels: DataFrame, size: flo
 
 
 def fit_stats(pairs: DataFrame, observed: str = "observed", predicted: str = "predicted") -> DataFrame:
+    """One row: how many complete pairs, their error, correlation and regression of observed on predicted.
+
+    As in SQL, pairs that don't vary give 0 / 0: r and r2 are NaN if either side is constant; if predicted is, so is the
+    slope, and there is no intercept. No pairs: all NULL but n.
+    """
     o, p = F.col(observed), F.col(predicted)
     both = pairs.where(o.isNotNull() & p.isNotNull())
-    return both.agg(F.count("*").alias("n"), F.sqrt(F.avg((p - o) ** 2)).alias("rmse"), F.corr(o, p).alias("r"), (F.corr(o, p) ** 2).alias("r2"), F.regr_slope(o, p).alias("slope"), F.regr_intercept(o, p).alias("intercept"))
+    # not F.corr: it fails on constant columns
+    undefined = F.when(F.count("*") > 0, F.lit(float("nan")))
+    r = F.coalesce(F.covar_pop(o, p) / F.nullif(F.stddev_pop(o) * F.stddev_pop(p), F.lit(0.0)), undefined)
+    return both.agg(F.count("*").alias("n"), F.sqrt(F.avg((p - o) ** 2)).alias("rmse"), r.alias("r"), (r * r).alias("r2"), F.coalesce(F.regr_slope(o, p), undefined).alias("slope"), F.regr_intercept(o, p).alias("intercept"))
 
 
 def flagged(pixels: DataFrame, value: str = "cbi") -> DataFrame:

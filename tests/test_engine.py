@@ -201,6 +201,19 @@ def test_missing_shares(spark):
     assert tuple(spectral.missing_shares(px.where("b > 9"), ["a"]).first()) == (0, None)
 
 
+def test_fit_of_constant_pairs(spark):
+    """Undefined statistics are what SQL gives, and no error."""
+    names, nan = ("n", "rmse", "r", "r2", "slope", "intercept"), "NaN"
+    sql = "SELECT count(*), sqrt(avg((predicted - observed) * (predicted - observed))), corr(observed, predicted), corr(observed, predicted) * corr(observed, predicted), regr_slope(observed, predicted), regr_intercept(observed, predicted) FROM p WHERE observed IS NOT NULL AND predicted IS NOT NULL"
+    plain = lambda row: [nan if isinstance(v, float) and math.isnan(v) else v if v is None else round(v, 9) for v in row]
+    for rows in ([(1.0, 2.1), (3.0, 2.1), (4.2, 2.1)], [(2.1, 1.0), (2.1, 3.0)], [(1.0, 2.0)], [(None, 2.0)], [(1.0, 1.5), (2.0, 2.0), (2.5, 3.0)]):
+        found = analysis.fit_stats(spark.createDataFrame(rows, "observed double, predicted double").repartition(2)).select(*names).first()
+        con = duckdb.connect()
+        con.execute("CREATE TABLE p (observed DOUBLE, predicted DOUBLE)")
+        con.executemany("INSERT INTO p VALUES (?, ?)", rows)
+        assert plain(found) == plain(con.execute(sql).fetchone())
+
+
 def test_raster_paths(spark, tmp_path):
     for name in ("1997/MT1_CBI.tif", "1997/MT1_CBI_bc.TIF", "1998/ca2_CBI.tiff", "1998/notes.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
