@@ -33,6 +33,18 @@ def floor2(x: Column, digits: int | None = None) -> Column:
     return F.floor(F.round(x * 100, digits)).cast("double") / 100
 
 
+def round_binary(x: Column, digits: int) -> Column:
+    """x rounded half away from zero as x * 10^digits in floating point, as DuckDB does it; F.round rounds x's shortest decimal.
+
+    They differ where the product lands on a half, or is so large that it loses bits. Where it is infinite, x stays.
+    """
+    scale = F.lit(10.0**digits)
+    a = F.abs(x * scale)
+    low = F.floor(a).cast("double")
+    up = F.when(a - low >= 0.5, low + 1.0).otherwise(low)
+    return F.when(a < F.lit(2.0**52), F.signum(x) * up / scale).when(a < F.lit(INF), x * scale / scale).otherwise(x)
+
+
 def is_finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != INF)
 

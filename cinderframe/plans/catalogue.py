@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderframe.functions.geo import Albers, Utm, snapped
-from cinderframe.functions.numeric import floor2
+from cinderframe.functions.numeric import floor2, round_binary
 from cinderframe.operators import analysis, catalog, raster, spectral
 from cinderframe.operators import constants as C
 from cinderframe.plans.fixtures import VIEWS
@@ -236,7 +236,7 @@ def spectral_indices(spark, sf_dir):
     usable = spectral.is_clear(F.col("qa_pixel")) & F.col("dn_nir08").isNotNull() & F.col("dn_swir22").isNotNull()
     o = spectral.with_reflectance(view(spark, sf_dir, "fx_obs").where(usable), ("blue", "red", "nir08", "swir16", "swir22"))
     o = o.where("not (nir08 = 0 and swir22 = 0)").select("row", "col", "yr", *spectral.indices(names))
-    return o.select("row", "col", "yr", *[F.round(n, 8).alias(n) for n in names])
+    return o.select("row", "col", "yr", *[round_binary(F.col(n), 8).alias(n) for n in names])
 
 
 def composites(spark, sf_dir):

@@ -32,6 +32,21 @@ def test_numeric(spark):
     assert one(spark, F.bround(lit(44.5), 0), F.bround(lit(45.5), 0)) == (44.0, 46.0)
 
 
+def test_round_binary(spark):
+    """Halves that only the product has, signs, and values beyond the digits: bit for bit as DuckDB."""
+    draw = np.random.default_rng(4)
+    halves = (draw.integers(-(10**8), 10**8, 20_000) + 0.5) / 1e8
+    values = [*halves.tolist(), *draw.normal(size=2_000).tolist(), 0.0, -0.0, -1e-12, 0.49999999999999994e-8, 1e20, -12345678.123456789, 1821199394313286.2, 1e305, 90071992.54740993, math.inf, -math.inf]
+    found = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(numeric.round_binary(F.col("x"), 8)).collect()]
+    con = duckdb.connect()
+    frame = pd.DataFrame({"i": range(len(values)), "x": values})  # noqa: F841
+    sql = [r[0] for r in con.execute("SELECT round(x, 8) FROM frame ORDER BY i").fetchall()]
+    assert struct.pack(f"{len(values)}d", *found) == struct.pack(f"{len(values)}d", *sql)
+    decimal = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(F.round("x", 8)).collect()]
+    assert decimal != sql
+    assert math.isnan(one(spark, numeric.round_binary(F.lit(math.nan), 8))[0]) and one(spark, numeric.round_binary(F.lit(None).cast("double"), 8)) == (None,)
+
+
 def test_qa_bits(spark):
     kept = [r[0] for r in spark.range(8).select(spectral.is_clear(F.lit(1).cast("int") * F.pow(F.lit(2), F.col("id")).cast("int"))).collect()]
     assert kept == [b in (2, 6) for b in range(8)]
