@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cinderframe.functions import numeric
 from cinderframe.functions.geo import Albers, Utm
 from cinderframe.operators import analysis, catalog, raster, spectral
-from cinderframe.plans import extras  # noqa: F401
+from cinderframe.plans import extras, run  # noqa: F401
 from cinderframe.plans.catalogue import ORACLE_SQL, QUERIES
 from cinderframe.__main__ import main
 from cinderframe.sources import files, geotiff, vector
@@ -242,6 +242,17 @@ def test_severity_of_many_fires(spark, tmp_path):
     assert files.finished(spark, path).count() == 3001 and not list((tmp_path / "severity").glob("_new*"))
 
 
+def test_totals_of_many_fires(spark, tmp_path):
+    """A run writes a few folders, whatever the number of its fires."""
+    fires = spark.range(3000).select(F.col("id").cast("string").alias("event_id"), F.lit(1997).alias("year"))
+    bad = F.col("event_id").endswith("5")
+    px = lambda f: f.select("event_id", "year", F.lit(0).alias("row"), F.lit(1).alias("col"), F.lit(1.0).alias("cbi"), F.when(~F.col("event_id").endswith("1"), 1.0).alias("cbi_bc"), F.when(bad, "no scene").alias("error"))
+    out = str(tmp_path / "run")
+    totals = analysis.run_totals(run.run(fires, fires.where("event_id = '3'"), px, out)).collect()
+    assert {r["status"]: r["n"] for r in totals} == {"ok": 2399, "empty": 300, "error": 300}
+    assert len({f.parent for f in (tmp_path / "run").rglob("*.parquet")}) <= files.SHARES
+
+
 def test_raster_paths(spark, tmp_path):
     for name in ("1997/MT1_CBI.tif", "1997/MT1_CBI_bc.TIF", "1998/ca2_CBI.tiff", "1998/notes.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
