@@ -9,14 +9,12 @@ runs on strings with a code point for each word (20 bits of the word's hash).
 Texts of at most SHORT words also meet by what is left of them without any floor(0.2 n) words, which finds every link
 among them.
 
-No bucket's pairs are listed unless it is small. Each member of a bucket is compared with its hub, the member that meets
-most others, so a star of copies is found at its original. A bucket that still holds two classes is taken up again:
-with at most SMALL members, all its pairs of different classes are compared; else its members are dealt anew by one
-further sketch a round, each member once, and compared with the hubs of the new buckets. Members of other
-classes that no sketch holds together are strangers that share a passage. Pairs that lengths or word counts rule out
-(exact bounds) are not aligned. Members that all sketches hold together are at last compared with each other, hub by hub,
-until none is left. Equal texts are one node throughout. Links become classes by alternating large-star and small-star
-steps on tables; nothing is collected.
+Each member of a bucket is first compared with its hub, the member that meets most others, so a star of copies is found
+at its original. Then all pairs of a bucket that are still in different classes are compared, but for those that lengths
+or word counts rule out (exact bounds): in small buckets by a join, in large ones by units of two blocks of members, which
+test the bounds in bulk and list what they leave; first one pair of each two classes, then all. So of the pairs that a
+sketch holds together none is left out. Equal texts are one node throughout. Links become classes by alternating
+large-star and small-star steps on tables; nothing is collected.
 
 Defined results: a null text is an empty one; empty texts are equal texts; a text of fewer than five words is one k-mer;
 texts are taken whole, of any length; rows that repeat have one class; the class is the least key of its rows (null if
@@ -44,8 +42,12 @@ SIMILARITY = 0.8
 BROADCAST_NODES = 500_000
 #: Words at most of a text whose shortened forms are keys too.
 SHORT = 14
-#: Members at most of a bucket whose pairs are all compared.
+#: Members at most of a bucket whose pairs are listed by a join; larger ones are cut in blocks.
 SMALL = 24
+#: Members of a block of a large bucket, about.
+BLOCK = 400
+#: Bytes at most of texts that are broadcast to verify their pairs.
+BROADCAST_BYTES = 16_000_000
 #: Bins of the word counts that rule out pairs before they are aligned.
 BINS = 64
 
@@ -210,13 +212,21 @@ class Links:
         """The rows of pairs(node, hub, ...) whose two nodes are in different classes."""
         return with_label(with_label(pairs, self.labels, "node", "a"), self.labels, "hub", "b").where("a <> b").select(pairs.columns)
 
-    def verify(self, pairs: DataFrame) -> None:
+    def verify(self, pairs: DataFrame, codes: DataFrame | None = None) -> None:
         """Adds the links among pairs(node, hub)."""
-        new = stash(verified(pairs.select("node", "hub"), self.codes), "links")
+        new = stash(verified(pairs.select("node", "hub"), self.codes if codes is None else codes), "links")
         if not new.isEmpty():
             self.found = self.found.unionByName(new)
             self.labels = components(self.found)
 
+    def verify_few(self, pairs: DataFrame) -> None:
+        """verify() of many pairs of few nodes: if their codes are small they are broadcast, not sent to each pair."""
+        wanted = stash(pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "wanted")
+        codes = stash(self.codes.join(wanted, "node", "left_semi"), "codes")
+        size = codes.agg(F.coalesce(F.sum(F.octet_length("code")), F.lit(0))).first()[0]
+        if size:
+            self.verify(pairs.repartition(F.xxhash64("node", "hub")), F.broadcast(codes) if size <= BROADCAST_BYTES else codes)
+
     def counts(self) -> DataFrame:
         """node, links: how many verified links each node has."""
         ends = self.found.select("node").unionByName(self.found.select(F.col("hub").alias("node")))
@@ -243,28 +253,73 @@ def mixed_buckets(members: DataFrame, links: Links) -> DataFrame:
     return named.join(kept, "key")
 
 
-def settled(members: DataFrame, sketch: DataFrame, links: Links) -> None:
-    """Compares members(key, node) of different classes; sketch(node, sketch) deals large buckets anew, round by round."""
+def small_pairs(members: DataFrame, bounds: DataFrame) -> DataFrame:
+    """node, hub: the pairs of different classes of mixed_buckets() of at most SMALL members that bounds don't rule out."""
+    small = members.where(F.col("size") <= SMALL).select("key", "node", "a").join(bounds, "node")
+    other = small.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "a", "n", "bag")])
+    pairs = small.join(other, "key").where(F.col("node") > F.col("node_2")).where(F.col("a") != F.col("a_2")).where(may_be_near(F.col("n"), F.col("n_2"), F.col("bag"), F.col("bag_2")))
+    return pairs.select("node", F.col("node_2").alias("hub")).distinct()
+
+
+def block_pairs(one: tuple, two: tuple | None, least: float = SIMILARITY) -> tuple:
+    """Pairs of different classes, of members (node, a, n, bag: arrays) of two blocks or of one, that may_be_near() leaves: node, hub, a, b, slack.
+
+    Counts above 255 are cut there, which only brings them nearer; slack is the share of the allowed edits that are sure.
+    """
+    other, out = two or one, []
+    for i in range(0, len(one[0]), 64):
+        most = np.floor((1 - least + 1e-9) * np.maximum(one[2][i : i + 64, None], other[2][None, :])).astype(np.int32)
+        apart = np.abs(one[2][i : i + 64, None] - other[2][None, :])
+        near = (one[1][i : i + 64, None] != other[1][None, :]) & (apart <= most)
+        if two is None:
+            near &= np.arange(i, i + len(near))[:, None] > np.arange(len(other[0]))[None, :]
+        x, y = np.nonzero(near)
+        p, q = one[3][i + x], other[3][y]
+        sure = (np.maximum(p, q) - np.minimum(p, q)).sum(axis=1, dtype=np.int32) + apart[x, y]
+        kept = sure <= 2 * most[x, y]
+        x, y = x[kept], y[kept]
+        out.append((one[0][i + x], other[0][y], one[1][i + x], other[1][y], sure[kept] / (2.0 * np.maximum(most[x, y], 1))))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def large_pairs(members: DataFrame, bounds: DataFrame, closest: bool) -> DataFrame:
+    """node, hub: like small_pairs() of the larger buckets; with closest, of each two classes only the pair that bounds leave most room.
+
+    A bucket is cut in blocks of about BLOCK members, and each two blocks are one unit of work, whatever the bucket's size.
+    """
+    large = members.where(F.col("size") > SMALL).join(bounds, "node")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    large = large.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    units = large.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "a", "n", "bag")
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        side = lambda r: (r["node"].to_numpy(), r["a"].to_numpy(), r["n"].to_numpy(np.int32), np.minimum(np.stack(r["bag"].to_list()), 255).astype(np.uint8))
+        first, second = rows[rows["block"] == key[1]], rows[rows["block"] == key[2]] if key[1] != key[2] else None
+        if not len(first) or (second is not None and not len(second)):
+            return pd.DataFrame({c: np.empty(0, np.int64) for c in ("node", "hub", "a", "b")} | {"slack": np.empty(0)})
+        node, hub, a, b, slack = block_pairs(side(first), None if second is None else side(second))
+        out = pd.DataFrame({"node": np.maximum(node, hub), "hub": np.minimum(node, hub), "a": np.minimum(a, b), "b": np.maximum(a, b), "slack": slack})
+        return out.sort_values("slack").drop_duplicates(["a", "b"]) if closest else out
+
+    found = units.groupBy("key", "i", "j").applyInPandas(run, "node long, hub long, a long, b long, slack double")
+    if closest:
+        return found.groupBy("a", "b").agg(F.min_by(F.struct("node", "hub"), F.struct("slack", "node", "hub")).alias("p")).select("p.node", "p.hub")
+    return found.select("node", "hub").distinct()
+
+
+def settled(members: DataFrame, links: Links) -> None:
+    """Compares all members(key, node) of one bucket and different classes, but for those that exact bounds rule out."""
     bounds = links.codes.select("node", "n", "bag")
-    for turn in itertools.count():
-        members = stash(mixed_buckets(members, links), "members")
-        if members.isEmpty():
-            return
-        small = members.where(F.col("size") <= SMALL).select("key", "node", "a").join(bounds, "node")
-        other = small.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "a", "n", "bag")])
-        pairs = small.join(other, "key").where(F.col("node") > F.col("node_2")).where(F.col("a") != F.col("a_2")).where(may_be_near(F.col("n"), F.col("n_2"), F.col("bag"), F.col("bag_2")))
-        pairs = pairs.select("node", F.col("node_2").alias("hub"))
-        large = members.where(F.col("size") > SMALL).select("key", "node")
-        if turn < SKETCHES:
-            # each member goes to one new bucket
-            dealt = large.join(sketch, "node").select(F.xxhash64("key", F.col("sketch")[turn]).alias("key"), "node")
-        else:
-            # no sketch tells them apart: the hubs leave, the others stay
-            dealt = large.join(with_hub(gathered(large)).select("key", F.col("hub").alias("node")).distinct(), ["key", "node"], "left_anti")
-        members = stash(with_hub(gathered(dealt)) if turn < SKETCHES else with_hub(gathered(large)), "members")
-        spokes = links.crossing(members.where("node <> hub").select("node", "hub").distinct())
-        links.verify(stash(pairs.unionByName(near_only(spokes, bounds)).select(F.greatest("node", "hub").alias("node"), F.least("node", "hub").alias("hub")).distinct(), "pairs"))
-        members = members.select("key", "node") if turn < SKETCHES else dealt
+    members = stash(mixed_buckets(members, links), "members")
+    links.verify(stash(small_pairs(members, bounds), "pairs"))
+    members = stash(mixed_buckets(members.where(F.col("size") > SMALL), links), "members")
+    if members.isEmpty():
+        return
+    # first one pair of each two classes: links join most of them, which makes their other pairs needless
+    for closest in (True, False):
+        links.verify_few(stash(large_pairs(members, bounds, closest), "pairs"))
+        if closest:
+            members = stash(mixed_buckets(members, links), "members")
 
 
 def near_only(pairs: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -286,7 +341,7 @@ def node_links(docs: DataFrame) -> Links:
     # first each node's most common hub: that makes most other pairs needless
     links.verify(spokes.groupBy("node").agg(F.max_by("hub", F.struct("buckets", "hub")).alias("hub")))
     links.verify(near_only(links.crossing(spokes.select("node", "hub")), codes.select("node", "n", "bag")))
-    settled(shared.select("key", "node").distinct(), kept.dropDuplicates(["node"]), links)
+    settled(shared.select("key", "node").distinct(), links)
     return links
 
 

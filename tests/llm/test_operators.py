@@ -498,6 +498,30 @@ def test_near_dedup_of_strangers_with_a_passage(spark):
     assert cls == {i: i - i % 2 for i, _ in rows}
 
 
+def passages(families):
+    """Strangers that share a passage; each has a near copy (edit similarity 0.82) whose own words differ in scattered places."""
+    draw = random.Random(17)
+    words = lambda n: [f"w{draw.randrange(10**5)}" for _ in range(n)]
+    passage, rows = words(60), []
+    for i in range(families):
+        text = words(70) + passage + words(70)
+        rows.append((2 * i, " ".join(text)))
+        for place in draw.sample([*range(70), *range(130, 200)], 36):
+            text[place] = f"x{draw.randrange(10**5)}"
+        rows.append((2 * i + 1, " ".join(text)))
+    return rows
+
+
+def test_near_dedup_loses_no_pair_of_a_large_bucket(spark):
+    """Near copies that only buckets of hundreds of strangers hold together are joined; no class holds strangers."""
+    rows = passages(150)
+    sketch = {i: near_dedup.sketched(near_dedup.labelled(np.array([near_dedup.WordHash()[w] for w in t.encode().split()], np.uint64))) for i, t in rows}
+    held = [i for i in range(0, 300, 2) if (sketch[i] == sketch[i + 1]).any()]
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert len(held) > 100 and [i for i in held if cls[i] != cls[i + 1]] == []
+    assert all(c == i - i % 2 for i, c in cls.items() if c != i)
+
+
 def star(copies):
     """An original and copies that each insert 55 words of their own into its 300: near it, hardly near each other."""
     draw = random.Random(copies)
