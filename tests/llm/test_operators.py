@@ -522,6 +522,15 @@ def test_near_dedup_loses_no_pair_of_a_large_bucket(spark):
     assert all(c == i - i % 2 for i, c in cls.items() if c != i)
 
 
+def test_keep_one_of_a_large_bucket(spark):
+    """The pipeline's stage keeps one of each two near copies that only a large bucket holds together."""
+    rows = passages(60)
+    sketch = {i: near_dedup.sketched(near_dedup.labelled(np.array([near_dedup.WordHash()[w] for w in t.encode().split()], np.uint64))) for i, t in rows}
+    apart = [i + 1 for i in range(0, 120, 2) if not (sketch[i] == sketch[i + 1]).any()]
+    kept = sorted(r["doc_id"] for r in local(near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert len(apart) < 20 and set(kept) - set(apart) == set(range(0, 120, 2))
+
+
 def star(copies):
     """An original and copies that each insert 55 words of their own into its 300: near it, hardly near each other."""
     draw = random.Random(copies)
