@@ -10,11 +10,14 @@ Texts of at most SHORT words also meet by what is left of them without any floor
 among them.
 
 Each member of a bucket is first compared with its hub, the member that meets most others, so a star of copies is found
-at its original. Then all pairs of a bucket that are still in different classes are compared, but for those that lengths
-or word counts rule out (exact bounds): in small buckets by a join, in large ones by units of two blocks of members, which
-test the bounds in bulk and list what they leave; first one pair of each two classes, then all. So of the pairs that a
-sketch holds together none is left out. Equal texts are one node throughout. Links become classes by alternating
-large-star and small-star steps on tables; nothing is collected.
+at its original. What sketches miss is found by an exact way: an edit changes at most two of a text's labelled pairs of
+adjacent words, so of any link's two texts the 2 d + 1 (d: the edits that 0.8 allows) least pairs in any one order have one
+in common (a prefix filter; the order is by rarity in a bounded sample, which decides the cost only). All texts that share
+such a pair and are still in different classes are compared, but for those that exact bounds rule out (lengths, word
+counts, how many pairs of words differ): in small groups by a join, in large ones by units of two blocks of members, which
+test the bounds in bulk and list what they leave; first one pair of each two classes, then all. So no pair that is in
+different classes is a link. Equal texts are one node throughout. Links become classes by alternating large-star and
+small-star steps on tables; nothing is collected.
 
 Defined results: a null text is an empty one; empty texts are equal texts; a text of fewer than five words is one k-mer;
 texts are taken whole, of any length; rows that repeat have one class; the class is the least key of its rows (null if
@@ -50,6 +53,12 @@ BLOCK = 400
 BROADCAST_BYTES = 16_000_000
 #: Bins of the word counts that rule out pairs before they are aligned.
 BINS = 64
+#: Bits that say which pairs of adjacent words a text has, for the same.
+BITS = 2048
+#: Texts, about, and characters at most of one, on which the order of pairs of words is fitted.
+ORDER_TEXTS, ORDER_CHARS = 4_000, 20_000
+#: Postings of rare pairs of words, about, that are sorted together, and parts at least that they are dealt to.
+POSTINGS, PARTS = 1_000_000, 64
 
 
 def labelled(ids: np.ndarray, k: int = K) -> np.ndarray:
@@ -117,8 +126,15 @@ def shortened(ids: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def bounded(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many words fall in each of BINS bins, and in which of BITS bins a labelled pair of adjacent words falls."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(labelled(ids, 2) % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.bincount((ids % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype("<i4"), np.packbits(bits).view("<i8")
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """docs(node, text) as (node, sketch array: SKETCHES digests, then those of short texts).
+    """docs(node, text) as (node, sketch array: SKETCHES digests, then those of short texts; n words, bag and bits: bounded()).
 
     A partition gives a node once as long as it remembers it.
     """
@@ -126,7 +142,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, seen = WordHash(), set()
         for batch in batches:
-            nodes, out = [], []
+            nodes, out, sizes, bags, bits = [], [], [], [], []
             for node, text in zip(batch["node"], batch["text"], strict=True):
                 if node not in seen:
                     if len(seen) >= REMEMBERED:
@@ -136,21 +152,127 @@ def sketches(docs: DataFrame) -> DataFrame:
                     keys = sketched(labelled(ids))
                     nodes.append(node)
                     out.append((np.r_[keys, shortened(ids)] if len(ids) <= SHORT else keys).astype(np.int64))
-            yield pd.DataFrame({"node": nodes, "sketch": out})
+                    sizes.append(len(ids))
+                    bag, has = bounded(ids)
+                    bags.append(bag)
+                    bits.append(has)
+            yield pd.DataFrame({"node": nodes, "sketch": out, "n": sizes, "bag": bags, "bits": bits})
+
+    return docs.mapInPandas(run, "node long, sketch array<long>, n int, bag array<int>, bits array<long>")
+
+
+def prefix_size(n: int) -> int:
+    """How many least pairs of words of a text of n words one has to know: one more than edits within SIMILARITY can change.
+
+    Against a text of m >= n words, floor(0.2 m) edits, m - n of them insertions, which change one of its pairs only.
+    """
+    return 2 * int((1 - SIMILARITY + 1e-9) * n) + 1 + (n % 5 == 4)
+
 
-    return docs.mapInPandas(run, "node long, sketch array<long>")
+def sampled_counts(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of about ORDER_TEXTS texts (of n): labelled pairs of words found three times or more, in order, and how often; words found twice or more, likewise."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHash()
+        for batch in batches:
+            ids = [np.fromiter((known[w] for w in split_words(text)), np.uint64) for text in batch["text"]]
+            for word, own in ((False, [labelled(i, 2) for i in ids]), (True, ids)):
+                found, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *own]), return_counts=True)
+                yield pd.DataFrame({"word": np.full(len(found), word), "x": found.astype(np.int64), "n": counts.astype(np.int64)})
+
+    chosen = docs.where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(max(1, n // ORDER_TEXTS))) == 0).where(F.length("text") <= ORDER_CHARS)
+    found = chosen.mapInPandas(run, "word boolean, x long, n long").groupBy("word", "x").agg(F.sum("n").alias("n")).where("n >= 3 or word and n >= 2").toPandas()
+    out = []
+    for part in (found[~found["word"].astype(bool)], found[found["word"].astype(bool)]):
+        x, counts = part["x"].to_numpy(np.int64).astype(np.uint64), part["n"].to_numpy(np.int64)
+        order = np.argsort(x)
+        # one that no hash equals, so there is one to look up
+        out += [np.r_[x[order], np.uint64(2**64 - 1)], np.r_[counts[order], 0]]
+    return tuple(out)
+
+
+def rare_grams(ids: np.ndarray, order: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The prefix_size() labelled pairs of words that come first: by their count in the sample or, if that is more, the one their words let expect; then by hash."""
+    own, size = labelled(ids, 2), prefix_size(len(ids))
+    if size >= len(own):
+        return own
+    look = lambda keys, counts, x: np.where(keys[at := np.searchsorted(keys, x)] == x, counts[at], 0)
+    grams, times, words, seen = order
+    word = look(words, seen, ids) + 1
+    score = np.maximum(word[1:] * word[:-1], look(grams, times, own) * seen.sum())
+    return own[np.lexsort((own, score))[:size]]
+
+
+def sharing(docs: DataFrame, texts: int, n_words: int) -> DataFrame:
+    """key, node: the texts of docs(node, text) that share a rare pair of words; all links are among those of a key.
+
+    Postings travel as arrays, by the first bits of their hash; 32 further bits tell them apart there (strangers that
+    meet by chance are compared and found to be strangers). A text none of whose key's others has a length near its own drops out.
+    """
+    fitted = sampled_counts(docs, texts)
+    parts = 1 << max(PARTS.bit_length() - 1, int(np.ceil(np.log2(max(1.0, 0.4 * n_words / POSTINGS)))))
+    shift = np.uint64(64 - (parts.bit_length() - 1))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, seen, held, names, sizes, size = WordHash(), set(), [], [], [], 0
+
+        def flushed() -> pd.DataFrame:
+            g, which = np.concatenate(held), np.repeat(np.arange(len(held)), [len(h) for h in held])
+            part = (g >> shift).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            ends, which = np.searchsorted(part[order], np.arange(parts + 1)), which[order]
+            columns = g[order].astype("<u4"), np.array(names, "<i8")[which], np.array(sizes, "<i4")[which]
+            rows = [(p, *[c[a:b].tobytes() for c in columns]) for p, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
+            return pd.DataFrame(rows, columns=["part", "grams", "nodes", "sizes"])
+
+        for batch in batches:
+            for node, text in zip(batch["node"], batch["text"], strict=True):
+                if node in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(node)
+                ids = np.fromiter((known[w] for w in split_words(text)), np.uint64)
+                held.append(rare_grams(ids, fitted))
+                names.append(node)
+                sizes.append(len(ids))
+                size += len(held[-1])
+                if size >= 2 * POSTINGS:
+                    yield flushed()
+                    held, names, sizes, size = [], [], [], 0
+        if held:
+            yield flushed()
+
+    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        g, node, n = (np.frombuffer(b"".join(rows[c]), t) for c, t in (("grams", "<u4"), ("nodes", "<i8"), ("sizes", "<i4")))
+        order = np.lexsort((node, n, g))
+        g, node, n = g[order], node[order], n[order]
+        new = np.r_[True, (g[1:] != g[:-1]) | (node[1:] != node[:-1])]
+        g, node, n = g[new], node[new], n[new]
+        # in order of length, a text has a neighbour near in length if any of its key's is
+        near = (g[1:] == g[:-1]) & (n[1:] - n[:-1] <= np.floor((1 - SIMILARITY + 1e-9) * n[1:]))
+        met = np.r_[False, near] | np.r_[near, False]
+        return pd.DataFrame({"key": (np.int64(key[0]) << np.int64(32)) | g[met].astype(np.int64), "node": node[met]})
+
+    return docs.mapInPandas(deal, "part int, grams binary, nodes binary, sizes binary").groupBy("part").applyInPandas(meet, "key long, node long")
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """docs(node, text) as (node, code, n, bag): a code point for each word, the number of words, and how many of them fall in each of BINS bins."""
+    """docs(node, text) as (node, code, n): a code point for each word, and the number of words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHash()
         for batch in batches:
             codes = [(np.fromiter((known[w] for w in split_words(text)), np.uint64) & np.uint64(0xFFFFF)).astype("<u4") + np.uint32(0x10000) for text in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "code": [c.astype("<u4").tobytes().decode("utf-32-le") for c in codes], "n": [len(c) for c in codes], "bag": [np.bincount(c % BINS, minlength=BINS).astype("<i4") for c in codes]})
+            yield pd.DataFrame({"node": batch["node"], "code": [c.astype("<u4").tobytes().decode("utf-32-le") for c in codes], "n": [len(c) for c in codes]})
 
-    return docs.mapInPandas(run, "node long, code string, n int, bag array<int>")
+    return docs.mapInPandas(run, "node long, code string, n int")
+
+
+def coded_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """coded() texts of docs(node, text), once each, of the nodes in wanted."""
+    few = wanted.count() <= BROADCAST_NODES
+    return stash(coded(docs.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")).dropDuplicates(["node"]), "codes")
 
 
 def verified(pairs: DataFrame, codes: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -166,12 +288,14 @@ def verified(pairs: DataFrame, codes: DataFrame, least: float = SIMILARITY) -> D
     return joined.where((F.call_function("levenshtein", F.col("ca"), F.col("cb"), narrow) >= 0) | (F.call_function("levenshtein", F.col("ca"), F.col("cb"), most) >= 0)).select("node", "hub")
 
 
-def may_be_near(na: Column, nb: Column, bag_a: Column, bag_b: Column, least: float = SIMILARITY) -> Column:
-    """False only if the edit similarity is below `least`: an edit changes one count at most each way."""
+def may_be_near(na: Column, nb: Column, bag_a: Column, bag_b: Column, bits_a: Column, bits_b: Column, least: float = SIMILARITY) -> Column:
+    """False only if the edit similarity is below `least`: an edit changes one count at most each way, and two pairs of words."""
     most = F.floor(F.lit(1 - least + 1e-9) * F.greatest(na, nb)).cast("int")
     apart = F.aggregate(F.zip_with(bag_a, bag_b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
     # counts that fell and counts that rose each need an edit: the larger of their sums is half of all and of the lengths' difference
-    return F.when(F.abs(na - nb) <= most, apart + F.abs(na - nb) <= 2 * most).otherwise(F.lit(False))
+    # a replaced word changes two pairs each way, one put in or left out three in all
+    differ = F.aggregate(F.zip_with(bits_a, bits_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.when(F.abs(na - nb) <= most, (differ + F.abs(na - nb) <= 4 * most) & (apart + F.abs(na - nb) <= 2 * most)).otherwise(F.lit(False))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -219,10 +343,11 @@ class Links:
             self.found = self.found.unionByName(new)
             self.labels = components(self.found)
 
-    def verify_few(self, pairs: DataFrame) -> None:
-        """verify() of many pairs of few nodes: if their codes are small they are broadcast, not sent to each pair."""
-        wanted = stash(pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "wanted")
-        codes = stash(self.codes.join(wanted, "node", "left_semi"), "codes")
+    def verify_few(self, pairs: DataFrame, docs: DataFrame) -> None:
+        """verify() of pairs whose texts are in docs: if their codes are small they are broadcast, not sent to each pair."""
+        if pairs.isEmpty():
+            return
+        codes = coded_of(docs, stash(pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "wanted"))
         size = codes.agg(F.coalesce(F.sum(F.octet_length("code")), F.lit(0))).first()[0]
         if size:
             self.verify(pairs.repartition(F.xxhash64("node", "hub")), F.broadcast(codes) if size <= BROADCAST_BYTES else codes)
@@ -256,13 +381,13 @@ def mixed_buckets(members: DataFrame, links: Links) -> DataFrame:
 def small_pairs(members: DataFrame, bounds: DataFrame) -> DataFrame:
     """node, hub: the pairs of different classes of mixed_buckets() of at most SMALL members that bounds don't rule out."""
     small = members.where(F.col("size") <= SMALL).select("key", "node", "a").join(bounds, "node")
-    other = small.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "a", "n", "bag")])
-    pairs = small.join(other, "key").where(F.col("node") > F.col("node_2")).where(F.col("a") != F.col("a_2")).where(may_be_near(F.col("n"), F.col("n_2"), F.col("bag"), F.col("bag_2")))
+    other = small.select("key", *[F.col(c).alias(f"{c}_2") for c in ("node", "a", "n", "bag", "bits")])
+    pairs = small.join(other, "key").where(F.col("node") > F.col("node_2")).where(F.col("a") != F.col("a_2")).where(may_be_near(*[F.col(c) for c in ("n", "n_2", "bag", "bag_2", "bits", "bits_2")]))
     return pairs.select("node", F.col("node_2").alias("hub")).distinct()
 
 
 def block_pairs(one: tuple, two: tuple | None, least: float = SIMILARITY) -> tuple:
-    """Pairs of different classes, of members (node, a, n, bag: arrays) of two blocks or of one, that may_be_near() leaves: node, hub, a, b, slack.
+    """Pairs of different classes, of members (node, a, n, bag, bits: arrays) of two blocks or of one, that may_be_near() leaves: node, hub, a, b, slack.
 
     Counts above 255 are cut there, which only brings them nearer; slack is the share of the allowed edits that are sure.
     """
@@ -274,6 +399,9 @@ def block_pairs(one: tuple, two: tuple | None, least: float = SIMILARITY) -> tup
         if two is None:
             near &= np.arange(i, i + len(near))[:, None] > np.arange(len(other[0]))[None, :]
         x, y = np.nonzero(near)
+        differ = np.bitwise_count(one[4][i + x] ^ other[4][y]).sum(axis=1, dtype=np.int32)
+        kept = differ + apart[x, y] <= 4 * most[x, y]
+        x, y = x[kept], y[kept]
         p, q = one[3][i + x], other[3][y]
         sure = (np.maximum(p, q) - np.minimum(p, q)).sum(axis=1, dtype=np.int32) + apart[x, y]
         kept = sure <= 2 * most[x, y]
@@ -290,10 +418,10 @@ def large_pairs(members: DataFrame, bounds: DataFrame, closest: bool) -> DataFra
     large = members.where(F.col("size") > SMALL).join(bounds, "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     large = large.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    units = large.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "a", "n", "bag")
+    units = large.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "a", "n", "bag", "bits")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        side = lambda r: (r["node"].to_numpy(), r["a"].to_numpy(), r["n"].to_numpy(np.int32), np.minimum(np.stack(r["bag"].to_list()), 255).astype(np.uint8))
+        side = lambda r: (r["node"].to_numpy(), r["a"].to_numpy(), r["n"].to_numpy(np.int32), np.minimum(np.stack(r["bag"].to_list()), 255).astype(np.uint8), np.stack(r["bits"].to_list()).view(np.uint64))
         first, second = rows[rows["block"] == key[1]], rows[rows["block"] == key[2]] if key[1] != key[2] else None
         if not len(first) or (second is not None and not len(second)):
             return pd.DataFrame({c: np.empty(0, np.int64) for c in ("node", "hub", "a", "b")} | {"slack": np.empty(0)})
@@ -307,25 +435,26 @@ def large_pairs(members: DataFrame, bounds: DataFrame, closest: bool) -> DataFra
     return found.select("node", "hub").distinct()
 
 
-def settled(members: DataFrame, links: Links) -> None:
-    """Compares all members(key, node) of one bucket and different classes, but for those that exact bounds rule out."""
-    bounds = links.codes.select("node", "n", "bag")
+def settled(members: DataFrame, links: Links, kept: DataFrame, docs: DataFrame) -> None:
+    """Compares all members(key, node) of one key and different classes, but for those that exact bounds rule out."""
     members = stash(mixed_buckets(members, links), "members")
-    links.verify(stash(small_pairs(members, bounds), "pairs"))
+    bounds = kept.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "bag", "bits")
+    bounds = stash(bounds.dropDuplicates(["node"]), "bounds")
+    links.verify_few(stash(small_pairs(members, bounds), "pairs"), docs)
     members = stash(mixed_buckets(members.where(F.col("size") > SMALL), links), "members")
     if members.isEmpty():
         return
     # first one pair of each two classes: links join most of them, which makes their other pairs needless
     for closest in (True, False):
-        links.verify_few(stash(large_pairs(members, bounds, closest), "pairs"))
+        links.verify_few(stash(large_pairs(members, bounds, closest), "pairs"), docs)
         if closest:
             members = stash(mixed_buckets(members, links), "members")
 
 
 def near_only(pairs: DataFrame, bounds: DataFrame) -> DataFrame:
-    """pairs(node, hub) that lengths and word counts don't rule out."""
-    hubs = bounds.select(F.col("node").alias("hub"), F.col("n").alias("n_2"), F.col("bag").alias("bag_2"))
-    return pairs.join(bounds, "node").join(hubs, "hub").where(may_be_near(F.col("n"), F.col("n_2"), F.col("bag"), F.col("bag_2"))).select("node", "hub")
+    """pairs(node, hub) that exact bounds don't rule out."""
+    hubs = bounds.select(F.col("node").alias("hub"), *[F.col(c).alias(f"{c}_2") for c in ("n", "bag", "bits")])
+    return pairs.join(bounds, "node").join(hubs, "hub").where(may_be_near(*[F.col(c) for c in ("n", "n_2", "bag", "bag_2", "bits", "bits_2")])).select("node", "hub")
 
 
 def node_links(docs: DataFrame) -> Links:
@@ -334,14 +463,14 @@ def node_links(docs: DataFrame) -> Links:
     members = gathered(kept.select("node", F.explode("sketch").alias("key")))
     shared = stash(with_hub(stash(members, "buckets")), "shared")
     wanted = stash(shared.select("node").distinct(), "wanted")
-    few = wanted.count() <= BROADCAST_NODES
-    codes = stash(coded(docs.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")).dropDuplicates(["node"]), "codes")
-    links = Links(codes)
+    links = Links(coded_of(docs, wanted))
     spokes = stash(shared.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("buckets")), "spokes")
     # first each node's most common hub: that makes most other pairs needless
     links.verify(spokes.groupBy("node").agg(F.max_by("hub", F.struct("buckets", "hub")).alias("hub")))
-    links.verify(near_only(links.crossing(spokes.select("node", "hub")), codes.select("node", "n", "bag")))
-    settled(shared.select("key", "node").distinct(), links)
+    bounds = kept.join(wanted, "node", "left_semi").select("node", "n", "bag", "bits").dropDuplicates(["node"])
+    links.verify(near_only(links.crossing(spokes.select("node", "hub")), stash(bounds, "bounds")))
+    texts, n_words = kept.agg(F.count("*"), F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()
+    settled(stash(sharing(docs, texts, n_words), "sharing"), links, kept, docs)
     return links
 
 

@@ -531,6 +531,35 @@ def test_keep_one_of_a_large_bucket(spark):
     assert len(apart) < 20 and set(kept) - set(apart) == set(range(0, 120, 2))
 
 
+def spread(families):
+    """Texts of 15 to 115 words and copies with each fifth word replaced, left out or followed by another: near, without five words in a row in common."""
+    draw, rows = random.Random(23), []
+    for i in range(families):
+        text = [f"w{draw.randrange(10**5)}" for _ in range(15 + i)]
+        kind = i % 3
+        places = range(4, len(text), 5) if kind < 2 else range(3, len(text) - 1, 4)
+        copy = []
+        edits = int(0.2 * max(len(text), len(text) + len(places) * (kind == 2)))
+        for j, word in enumerate(text):
+            edit = j in places and edits > 0
+            edits -= edit
+            copy += [word] if not edit else {0: [f"x{draw.randrange(10**5)}"], 1: [], 2: [word, f"x{draw.randrange(10**5)}"]}[kind]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(copy))]
+    return rows
+
+
+def test_near_dedup_without_a_common_sketch(spark):
+    """Links that no sketch holds are found; keep_one() keeps one of them."""
+    rows = spread(101)
+    sketch = {i: near_dedup.sketched(near_dedup.labelled(np.array([near_dedup.WordHash()[w] for w in t.encode().split()], np.uint64))) for i, t in rows}
+    near = [i for i in range(0, len(rows), 2) if near_pairs({k: rows[k][1].split() for k in (i, i + 1)})]
+    assert len(near) > 80 and sum(not (sketch[i] == sketch[i + 1]).any() for i in near) > 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(docs))}
+    assert cls == {i: i - i % 2 if i - i % 2 in near else i for i, _ in rows}
+    assert {r["doc_id"] for r in local(near_dedup.keep_one(docs))} == set(cls.values())
+
+
 def star(copies):
     """An original and copies that each insert 55 words of their own into its 300: near it, hardly near each other."""
     draw = random.Random(copies)
