@@ -10,14 +10,16 @@ Texts of at most SHORT words also meet by what is left of them without any floor
 among them.
 
 Each member of a bucket is first compared with its hub, the member that meets most others, so a star of copies is found
-at its original. What sketches miss is found by an exact way: an edit changes at most two of a text's labelled pairs of
-adjacent words, so of any link's two texts the 2 d + 1 (d: the edits that 0.8 allows) least pairs in any one order have one
-in common (a prefix filter; the order is by rarity in a bounded sample, which decides the cost only). All texts that share
-such a pair and are still in different classes are compared, but for those that exact bounds rule out (lengths, word
-counts, how many pairs of words differ): in small groups by a join, in large ones by units of two blocks of members, which
-test the bounds in bulk and list what they leave; first one pair of each two classes, then all. So no pair that is in
-different classes is a link. Equal texts are one node throughout. Links become classes by alternating large-star and
-small-star steps on tables; nothing is collected.
+at its original. What sketches miss is found by an exact way: an edit changes at most three of a text's labelled runs of
+three words, so two near texts share least_shared() of them. A text with fewer runs that a text of another class and of
+near length has too can have no link to find and drops out, as nearly all strangers do. Of the c such runs of one that
+stays, the c - least_shared() + 1 least, in one order for all texts, hold one that its link's other text has among its
+own (a prefix filter; the order is by the number of texts that have a run). All texts that share such a run and are still
+in different classes are compared, but for those that exact bounds rule out (lengths, word counts, how many pairs of words
+differ): in small groups by a join, in large ones by units of two blocks of members, which test the bounds in bulk and
+list what they leave; first one pair of each two classes, then all. So no pair that is in different classes is a link.
+Equal texts are one node throughout. Links become classes by alternating large-star and small-star steps on tables;
+nothing is collected.
 
 Defined results: a null text is an empty one; empty texts are equal texts; a text of fewer than five words is one k-mer;
 texts are taken whole, of any length; rows that repeat have one class; the class is the least key of its rows (null if
@@ -27,6 +29,7 @@ all columns), so other columns of any name do no harm.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -35,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinderframe.llm.common import REMEMBERED, WordHash, discard, mixed, split_words, stash, whole_text
+from cinderframe.llm.common import REMEMBERED, SPACE_CHARS, discard, mixed, release, stash, whole_text
 
 K = 5
 SKETCHES = 64
@@ -55,10 +58,49 @@ BROADCAST_BYTES = 16_000_000
 BINS = 64
 #: Bits that say which pairs of adjacent words a text has, for the same.
 BITS = 2048
-#: Texts, about, and characters at most of one, on which the order of pairs of words is fitted.
-ORDER_TEXTS, ORDER_CHARS = 4_000, 20_000
-#: Postings of rare pairs of words, about, that are sorted together, and parts at least that they are dealt to.
-POSTINGS, PARTS = 1_000_000, 64
+#: Words of the runs of which near texts share least_shared().
+RUN = 3
+#: Words at least of a text one of whose links is to a text of more than SHORT words.
+LONG = 12
+#: Postings of runs, about, that are sorted together, and parts at least that they are dealt to.
+POSTINGS, PARTS = 2_000_000, 64
+#: Bytes, about, of a text that are hashed together.
+PIECE = 1 << 17
+
+GOLDEN = 0x9E3779B97F4A7C15
+IS_SPACE = np.isin(np.arange(256), list(SPACE_CHARS.encode()))
+LETTERS = np.where(IS_SPACE, np.uint64(0), mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(GOLDEN)))
+#: Powers of an odd number and of its inverse; hashed() makes them longer for longer words.
+POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def hashed(text: bytes) -> np.ndarray:
+    """Hashes of the words of a UTF-8 text: each a polynomial of its bytes, all of a piece at once."""
+    b = np.frombuffer(text, np.uint8)
+    space = IS_SPACE[b]
+    first = ~space
+    first[1:] &= space[:-1]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    out, i = [], 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + PIECE)))
+        low, high = starts[i], starts[j] if j < len(starts) else len(b)
+        if high - low > len(POWERS[0]):
+            for k, base in enumerate((GOLDEN, pow(GOLDEN, -1, 2**64))):
+                POWERS[k] = np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(PIECE, int(high - low)), base, np.uint64)])
+        at = starts[i:j] - low
+        out.append(np.add.reduceat(LETTERS[b[low:high]] * POWERS[0][: high - low], at) * POWERS[1][at])
+        i = j
+    return mixed(np.concatenate(out))
+
+
+class WordHash(dict):
+    """hashed() of single words."""
+
+    def __missing__(self, word: bytes) -> int:
+        return int(hashed(word)[0])
 
 
 def labelled(ids: np.ndarray, k: int = K) -> np.ndarray:
@@ -71,18 +113,22 @@ def labelled(ids: np.ndarray, k: int = K) -> np.ndarray:
     grams = np.zeros(len(ids) - k + 1, np.uint64)
     for j in range(k):
         grams = mixed(grams + ids[j : len(ids) - k + 1 + j])
-    order = np.argsort(grams, kind="stable")
-    ranked = grams[order]
-    first = np.r_[True, ranked[1:] != ranked[:-1]]
-    if not first.all():
-        at = np.arange(len(grams))
-        seen = np.empty(len(grams), np.uint64)
+    ranked = np.sort(grams)
+    twice = ranked[1:][ranked[1:] == ranked[:-1]]
+    if len(twice):
+        where = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, grams), len(twice) - 1)] == grams)
+        own = grams[where]
+        order = np.argsort(own, kind="stable")
+        ranked, at = own[order], np.arange(len(own))
+        first = np.r_[True, ranked[1:] != ranked[:-1]]
+        seen = np.empty(len(own), np.uint64)
         seen[order] = at - np.maximum.accumulate(np.where(first, at, 0))
-        grams = mixed(grams + seen * np.uint64(0x9E3779B97F4A7C15))
+        # a first occurrence stays as it is, so that it equals that of a text in which there is no second one
+        grams[where] = np.where(seen > 0, mixed(own + seen * np.uint64(GOLDEN)), own)
     return grams
 
 
-SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(GOLDEN))
 
 
 def sketched(grams: np.ndarray) -> np.ndarray:
@@ -113,16 +159,21 @@ def sketched(grams: np.ndarray) -> np.ndarray:
     return out
 
 
+@functools.cache
+def left_over(n: int, gone: int) -> np.ndarray:
+    """Places of n elements that are left without any `gone` of them, a row each."""
+    return np.stack([np.delete(np.arange(n), list(x)) for x in itertools.combinations(range(n), gone)]).astype(np.int64)
+
+
 def shortened(ids: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
     """Digests of a short sequence without any 0 to floor((1 - least) * n) of its elements: near ones share one."""
-    n = len(ids)
     out = []
-    for r in range(int((1 - least + 1e-9) * n) + 1):
-        for gone in itertools.combinations(range(n), r):
-            digest = np.full(1, 0x9E3779B97F4A7C15, np.uint64)
-            for x in np.delete(ids, gone):
-                digest = mixed(digest + x)
-            out.append(digest)
+    for r in range(int((1 - least + 1e-9) * len(ids)) + 1):
+        places = left_over(len(ids), r)
+        digest = np.full(len(places), GOLDEN, np.uint64)
+        for column in places.T:
+            digest = mixed(digest + ids[column])
+        out.append(digest)
     return np.unique(np.concatenate(out))
 
 
@@ -133,140 +184,162 @@ def bounded(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.bincount((ids % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype("<i4"), np.packbits(bits).view("<i8")
 
 
+def unseen(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[np.ndarray], dict[str, list]]]:
+    """Of each batch(node, text, ...) the nodes that a partition has not had before as long as it remembers it, their words' hashes, and their other columns."""
+    seen = set()
+    for batch in batches:
+        chosen = []
+        for i, node in enumerate(batch["node"]):
+            if node not in seen:
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(node)
+                chosen.append(i)
+        own = batch.iloc[chosen]
+        yield own["node"].to_list(), [hashed(text.encode()) for text in own["text"]], {c: own[c].to_list() for c in own.columns if c not in ("node", "text")}
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """docs(node, text) as (node, sketch array: SKETCHES digests, then those of short texts; n words, bag and bits: bounded()).
+    """docs(node, text) as (node, sketch: SKETCHES digests, short: those of short texts, n words).
 
     A partition gives a node once as long as it remembers it.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, seen = WordHash(), set()
-        for batch in batches:
-            nodes, out, sizes, bags, bits = [], [], [], [], []
-            for node, text in zip(batch["node"], batch["text"], strict=True):
-                if node not in seen:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen.add(node)
-                    ids = np.fromiter((known[w] for w in split_words(text)), np.uint64)
-                    keys = sketched(labelled(ids))
-                    nodes.append(node)
-                    out.append((np.r_[keys, shortened(ids)] if len(ids) <= SHORT else keys).astype(np.int64))
-                    sizes.append(len(ids))
-                    bag, has = bounded(ids)
-                    bags.append(bag)
-                    bits.append(has)
-            yield pd.DataFrame({"node": nodes, "sketch": out, "n": sizes, "bag": bags, "bits": bits})
-
-    return docs.mapInPandas(run, "node long, sketch array<long>, n int, bag array<int>, bits array<long>")
-
-
-def prefix_size(n: int) -> int:
-    """How many least pairs of words of a text of n words one has to know: one more than edits within SIMILARITY can change.
-
-    Against a text of m >= n words, floor(0.2 m) edits, m - n of them insertions, which change one of its pairs only.
-    """
-    return 2 * int((1 - SIMILARITY + 1e-9) * n) + 1 + (n % 5 == 4)
-
-
-def sampled_counts(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of about ORDER_TEXTS texts (of n): labelled pairs of words found three times or more, in order, and how often; words found twice or more, likewise."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHash()
-        for batch in batches:
-            ids = [np.fromiter((known[w] for w in split_words(text)), np.uint64) for text in batch["text"]]
-            for word, own in ((False, [labelled(i, 2) for i in ids]), (True, ids)):
-                found, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *own]), return_counts=True)
-                yield pd.DataFrame({"word": np.full(len(found), word), "x": found.astype(np.int64), "n": counts.astype(np.int64)})
-
-    chosen = docs.where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(max(1, n // ORDER_TEXTS))) == 0).where(F.length("text") <= ORDER_CHARS)
-    found = chosen.mapInPandas(run, "word boolean, x long, n long").groupBy("word", "x").agg(F.sum("n").alias("n")).where("n >= 3 or word and n >= 2").toPandas()
-    out = []
-    for part in (found[~found["word"].astype(bool)], found[found["word"].astype(bool)]):
-        x, counts = part["x"].to_numpy(np.int64).astype(np.uint64), part["n"].to_numpy(np.int64)
-        order = np.argsort(x)
-        # one that no hash equals, so there is one to look up
-        out += [np.r_[x[order], np.uint64(2**64 - 1)], np.r_[counts[order], 0]]
-    return tuple(out)
+        for nodes, texts, _ in unseen(batches):
+            keys = [sketched(labelled(ids)).astype(np.int64) for ids in texts]
+            short = [(shortened(ids) if len(ids) <= SHORT else np.empty(0, np.uint64)).astype(np.int64) for ids in texts]
+            yield pd.DataFrame({"node": nodes, "sketch": keys, "short": short, "n": [len(ids) for ids in texts]})
 
+    return docs.mapInPandas(run, "node long, sketch array<long>, short array<long>, n int")
 
-def rare_grams(ids: np.ndarray, order: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """The prefix_size() labelled pairs of words that come first: by their count in the sample or, if that is more, the one their words let expect; then by hash."""
-    own, size = labelled(ids, 2), prefix_size(len(ids))
-    if size >= len(own):
-        return own
-    look = lambda keys, counts, x: np.where(keys[at := np.searchsorted(keys, x)] == x, counts[at], 0)
-    grams, times, words, seen = order
-    word = look(words, seen, ids) + 1
-    score = np.maximum(word[1:] * word[:-1], look(grams, times, own) * seen.sum())
-    return own[np.lexsort((own, score))[:size]]
 
+def least_shared(n: np.ndarray) -> np.ndarray:
+    """How many labelled runs of RUN words a text of n >= LONG words shares at least with any that is near it.
 
-def sharing(docs: DataFrame, texts: int, n_words: int) -> DataFrame:
-    """key, node: the texts of docs(node, text) that share a rare pair of words; all links are among those of a key.
+    With m words in the longer one they share m - 2 less three for each of floor(0.2 m) edits: for m = 5 k + r, 2 k - 2 + r.
+    The least of this over all m >= n is at n or at the next multiple of five.
+    """
+    return 2 * (n // 5) - 2 + np.minimum(n % 5, 2)
+
+
+def met_runs(g: np.ndarray, node: np.ndarray, label: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of postings (run, node, its class, its words): those whose run a text of another class and of near length has, and by how many texts the run is had."""
+    order = np.argsort(g)
+    same = g[order[1:]] == g[order[:-1]]
+    order = order[(np.r_[False, same] | np.r_[same, False])[: len(g)]]
+    order = order[np.lexsort((node[order], n[order], g[order]))]
+    if not len(order):
+        return order, order
+    g, node = g[order], node[order]
+    new = np.r_[True, (g[1:] != g[:-1]) | (node[1:] != node[:-1])]
+    order, g = order[new], g[new]
+    label, n, at = label[order], n[order].astype(np.int64), np.arange(len(order))
+    head = np.r_[True, g[1:] != g[:-1]]
+    times = np.diff(np.r_[np.flatnonzero(head), len(g)])[np.cumsum(head) - 1]
+    # in order of length, the nearest of another class stand before and after those of one class that follow each other
+    begins = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (label[1:] != label[:-1])])
+    which = np.searchsorted(begins, at, "right") - 1
+    before, after = begins[which] - 1, np.r_[begins, len(g)][which + 1]
+    left, right = np.maximum(before, 0), np.minimum(after, len(g) - 1)
+    allowed = np.floor((1 - SIMILARITY + 1e-9) * n).astype(np.int64)
+    met = (before >= 0) & (g[left] == g) & (n - n[left] <= allowed)
+    met |= (after < len(g)) & (g[right] == g) & (n[right] - n <= allowed[right])
+    return order[met], times[met]
+
+
+def rarest(node: np.ndarray, key: np.ndarray, times: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Of met runs (node, key, by how many texts it is had, how many its node needs), those that a link's two texts must have one in common of."""
+    order = np.lexsort((key, times, node))
+    ranked = node[order]
+    head = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(order) else np.empty(0, np.int64)
+    count = np.diff(np.r_[head, len(order)])
+    rank = np.arange(len(order)) - np.repeat(head, count)
+    return order[rank <= np.repeat(count, count) - need[order]]
+
+
+def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
+    """key, node: all links of docs(node, text) that labels(node, label) don't hold and that have a text of more than SHORT words are among those of a key.
 
     Postings travel as arrays, by the first bits of their hash; 32 further bits tell them apart there (strangers that
-    meet by chance are compared and found to be strangers). A text none of whose key's others has a length near its own drops out.
+    meet by chance are compared and found to be strangers; a text needs so many runs fewer as it has equal ones by that).
     """
-    fitted = sampled_counts(docs, texts)
-    parts = 1 << max(PARTS.bit_length() - 1, int(np.ceil(np.log2(max(1.0, 0.4 * n_words / POSTINGS)))))
-    shift = np.uint64(64 - (parts.bit_length() - 1))
+    parts = 1 << max(PARTS.bit_length() - 1, round(np.log2(max(1.0, n_words / POSTINGS))))
+    shift = np.uint64(32 - (parts.bit_length() - 1))
+    few = labels.count() <= BROADCAST_NODES
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, seen, held, names, sizes, size = WordHash(), set(), [], [], [], 0
+        held, about, size = [], [], 0
 
         def flushed() -> pd.DataFrame:
-            g, which = np.concatenate(held), np.repeat(np.arange(len(held)), [len(h) for h in held])
-            part = (g >> shift).astype(np.int64)
+            runs, which = np.concatenate(held), np.repeat(np.arange(len(held)), [len(h) for h in held])
+            node, label, n, lost = (np.array(c, t) for c, t in zip(zip(*about, strict=True), ("<i8", "<i8", "<i4", "<i4"), strict=True))
+            part = (runs >> np.uint64(32)).astype(np.uint16)
             order = np.argsort(part, kind="stable")
-            ends, which = np.searchsorted(part[order], np.arange(parts + 1)), which[order]
-            columns = g[order].astype("<u4"), np.array(names, "<i8")[which], np.array(sizes, "<i4")[which]
-            rows = [(p, *[c[a:b].tobytes() for c in columns]) for p, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
-            return pd.DataFrame(rows, columns=["part", "grams", "nodes", "sizes"])
-
-        for batch in batches:
-            for node, text in zip(batch["node"], batch["text"], strict=True):
-                if node in seen:
-                    continue
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen.add(node)
-                ids = np.fromiter((known[w] for w in split_words(text)), np.uint64)
-                held.append(rare_grams(ids, fitted))
-                names.append(node)
-                sizes.append(len(ids))
-                size += len(held[-1])
-                if size >= 2 * POSTINGS:
-                    yield flushed()
-                    held, names, sizes, size = [], [], [], 0
+            ends, runs, which = np.searchsorted(part[order], np.arange(parts + 1)), runs[order].astype("<u4"), which[order]
+            rows = []
+            for p, (a, b) in enumerate(itertools.pairwise(ends)):
+                if a < b:
+                    times = np.bincount(which[a:b], minlength=len(held))
+                    own = np.flatnonzero(times)
+                    joined = np.flatnonzero(label[own] != node[own])
+                    rows.append((p, *[c.tobytes() for c in (runs[a:b], times[own].astype("<u4"), node[own], n[own], lost[own], joined.astype("<u4"), label[own][joined])]))
+            return pd.DataFrame(rows, columns=["part", "runs", "times", "nodes", "sizes", "lost", "joined", "labels"])
+
+        for nodes, texts, more in unseen(batches):
+            for node, ids, label in zip(nodes, texts, more["label"], strict=True):
+                if len(ids) >= LONG:
+                    own = labelled(ids, RUN) >> shift
+                    runs = np.unique(own)
+                    held.append(runs)
+                    about.append((node, label, len(ids), len(own) - len(runs)))
+                    size += len(runs)
+                    if size >= POSTINGS:
+                        yield flushed()
+                        held, about, size = [], [], 0
         if held:
             yield flushed()
 
     def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        g, node, n = (np.frombuffer(b"".join(rows[c]), t) for c, t in (("grams", "<u4"), ("nodes", "<i8"), ("sizes", "<i4")))
-        order = np.lexsort((node, n, g))
-        g, node, n = g[order], node[order], n[order]
-        new = np.r_[True, (g[1:] != g[:-1]) | (node[1:] != node[:-1])]
-        g, node, n = g[new], node[new], n[new]
-        # in order of length, a text has a neighbour near in length if any of its key's is
-        near = (g[1:] == g[:-1]) & (n[1:] - n[:-1] <= np.floor((1 - SIMILARITY + 1e-9) * n[1:]))
-        met = np.r_[False, near] | np.r_[near, False]
-        return pd.DataFrame({"key": (np.int64(key[0]) << np.int64(32)) | g[met].astype(np.int64), "node": node[met]})
-
-    return docs.mapInPandas(deal, "part int, grams binary, nodes binary, sizes binary").groupBy("part").applyInPandas(meet, "key long, node long")
+        read = lambda c, t: [np.frombuffer(x, t) for x in rows[c]]
+        node, joined, named, times = read("nodes", "<i8"), read("joined", "<u4"), read("labels", "<i8"), np.concatenate(read("times", "<u4"))
+        label = [x.copy() for x in node]
+        for x, at, to in zip(label, joined, named, strict=True):
+            x[at] = to
+        node, label, n, lost = (np.repeat(np.concatenate(c), times) for c in (node, label, read("sizes", "<i4"), read("lost", "<i4")))
+        g = np.concatenate(read("runs", "<u4"))
+        met, had = met_runs(g, node, label, n)
+        bucket = node[met] & (parts - 1)
+        order = np.lexsort((node[met], bucket))
+        met, ends = met[order], np.searchsorted(bucket[order], np.arange(parts + 1))
+        need = np.maximum(least_shared(n[met]) - lost[met], 1)
+        columns = g[met], node[met], had[order].astype("<u4"), need.astype("<i4")
+        out = [(i, key[0], *[c[a:b].tobytes() for c in columns]) for i, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
+        return pd.DataFrame(out, columns=["bucket", "part", "runs", "nodes", "times", "need"])
+
+    def keep(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        g, node, times, need = ([np.frombuffer(x, t) for x in rows[c]] for c, t in (("runs", "<u4"), ("nodes", "<i8"), ("times", "<u4"), ("need", "<i4")))
+        part = np.repeat(rows["part"].to_numpy(np.int64), [len(x) for x in g])
+        node, keys = np.concatenate(node), (part << np.int64(32)) | np.concatenate(g).astype(np.int64)
+        kept = rarest(node, keys, np.concatenate(times), np.concatenate(need).astype(np.int64))
+        return pd.DataFrame({"key": keys[kept], "node": node[kept]})
+
+    named = docs.join(F.broadcast(labels) if few else labels, "node", "left").select("node", "text", F.coalesce("label", "node").alias("label"))
+    dealt = named.mapInPandas(deal, "part int, runs binary, times binary, nodes binary, sizes binary, lost binary, joined binary, labels binary")
+    met = dealt.groupBy("part").applyInPandas(meet, "bucket int, part int, runs binary, nodes binary, times binary, need binary")
+    return met.groupBy("bucket").applyInPandas(keep, "key long, node long")
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """docs(node, text) as (node, code, n): a code point for each word, and the number of words."""
+    """docs(node, text) as (node, code, n, bag, bits): a code point for each word, the number of words, and bounded()."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHash()
-        for batch in batches:
-            codes = [(np.fromiter((known[w] for w in split_words(text)), np.uint64) & np.uint64(0xFFFFF)).astype("<u4") + np.uint32(0x10000) for text in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "code": [c.astype("<u4").tobytes().decode("utf-32-le") for c in codes], "n": [len(c) for c in codes]})
+        for nodes, texts, _ in unseen(batches):
+            codes = [((ids & np.uint64(0xFFFFF)).astype("<u4") + np.uint32(0x10000)).tobytes().decode("utf-32-le") for ids in texts]
+            bags, bits = zip(*map(bounded, texts), strict=True) if texts else ((), ())
+            yield pd.DataFrame({"node": nodes, "code": codes, "n": [len(ids) for ids in texts], "bag": list(bags), "bits": list(bits)})
 
-    return docs.mapInPandas(run, "node long, code string, n int")
+    return docs.mapInPandas(run, "node long, code string, n int, bag array<int>, bits array<long>")
 
 
 def coded_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -343,11 +416,12 @@ class Links:
             self.found = self.found.unionByName(new)
             self.labels = components(self.found)
 
-    def verify_few(self, pairs: DataFrame, docs: DataFrame) -> None:
-        """verify() of pairs whose texts are in docs: if their codes are small they are broadcast, not sent to each pair."""
+    def verify_few(self, pairs: DataFrame, codes: DataFrame) -> None:
+        """verify() of pairs whose texts are in codes: if they are small they are broadcast, not sent to each pair."""
         if pairs.isEmpty():
             return
-        codes = coded_of(docs, stash(pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct(), "wanted"))
+        wanted = pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct()
+        codes = stash(codes.select("node", "code", "n").join(wanted, "node", "left_semi"), "few")
         size = codes.agg(F.coalesce(F.sum(F.octet_length("code")), F.lit(0))).first()[0]
         if size:
             self.verify(pairs.repartition(F.xxhash64("node", "hub")), F.broadcast(codes) if size <= BROADCAST_BYTES else codes)
@@ -435,18 +509,18 @@ def large_pairs(members: DataFrame, bounds: DataFrame, closest: bool) -> DataFra
     return found.select("node", "hub").distinct()
 
 
-def settled(members: DataFrame, links: Links, kept: DataFrame, docs: DataFrame) -> None:
+def settled(members: DataFrame, links: Links, docs: DataFrame) -> None:
     """Compares all members(key, node) of one key and different classes, but for those that exact bounds rule out."""
     members = stash(mixed_buckets(members, links), "members")
-    bounds = kept.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "bag", "bits")
-    bounds = stash(bounds.dropDuplicates(["node"]), "bounds")
-    links.verify_few(stash(small_pairs(members, bounds), "pairs"), docs)
+    codes = coded_of(docs, stash(members.select("node").distinct(), "wanted"))
+    bounds = codes.select("node", "n", "bag", "bits")
+    links.verify_few(stash(small_pairs(members, bounds), "pairs"), codes)
     members = stash(mixed_buckets(members.where(F.col("size") > SMALL), links), "members")
     if members.isEmpty():
         return
     # first one pair of each two classes: links join most of them, which makes their other pairs needless
     for closest in (True, False):
-        links.verify_few(stash(large_pairs(members, bounds, closest), "pairs"), docs)
+        links.verify_few(stash(large_pairs(members, bounds, closest), "pairs"), codes)
         if closest:
             members = stash(mixed_buckets(members, links), "members")
 
@@ -460,17 +534,18 @@ def near_only(pairs: DataFrame, bounds: DataFrame) -> DataFrame:
 def node_links(docs: DataFrame) -> Links:
     """The links of docs(node, text), rows of equal texts having equal nodes."""
     kept = stash(sketches(docs), "sketches")
-    members = gathered(kept.select("node", F.explode("sketch").alias("key")))
+    members = gathered(kept.select("node", F.explode(F.concat("sketch", "short")).alias("key")))
     shared = stash(with_hub(stash(members, "buckets")), "shared")
     wanted = stash(shared.select("node").distinct(), "wanted")
     links = Links(coded_of(docs, wanted))
     spokes = stash(shared.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("buckets")), "spokes")
     # first each node's most common hub: that makes most other pairs needless
     links.verify(spokes.groupBy("node").agg(F.max_by("hub", F.struct("buckets", "hub")).alias("hub")))
-    bounds = kept.join(wanted, "node", "left_semi").select("node", "n", "bag", "bits").dropDuplicates(["node"])
-    links.verify(near_only(links.crossing(spokes.select("node", "hub")), stash(bounds, "bounds")))
-    texts, n_words = kept.agg(F.count("*"), F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()
-    settled(stash(sharing(docs, texts, n_words), "sharing"), links, kept, docs)
+    links.verify(near_only(links.crossing(spokes.select("node", "hub")), links.codes.select("node", "n", "bag", "bits")))
+    n_words = kept.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()[0]
+    release(docs.sparkSession)
+    runs = stash(sharing(docs, links.labels, n_words), "sharing")
+    settled(runs.unionByName(kept.select(F.explode("short").alias("key"), "node").distinct()), links, docs)
     return links
 
 

@@ -582,6 +582,30 @@ def test_near_dedup_of_a_star(spark, copies):
     assert len(candidates) > 0.9 * copies and [i for i in candidates if cls[i] != cls[0]] == []
 
 
+def test_near_dedup_of_texts_that_repeat_words(spark):
+    """A text with pairs of words that occur twice and a near copy without them, which share no five words in a row, are joined."""
+    draw, rows = random.Random(29), []
+    for i in range(20):
+        text = [f"w{draw.randrange(10**5)}" for _ in range(40)]
+        text[:4] = ["p", f"q{i}"] * 2
+        copy = [f"x{draw.randrange(10**5)}" if j % 5 == 2 else w for j, w in enumerate(text)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(copy))]
+    assert len(near_pairs({i: t.split() for i, t in rows})) == 20
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert cls == {i: i - i % 2 for i, _ in rows}
+
+
+def test_near_dedup_aligns_few_strangers(spark, monkeypatch):
+    """Long strangers of one language, whose words and pairs of words are often the same, are not aligned; a near copy among them is."""
+    draw = np.random.default_rng(31)
+    texts = [[f"w{int(x)}" for x in 3000 * draw.random(1500) ** 2] for _ in range(120)]
+    texts.append([f"x{i}" if i % 5 == 0 else w for i, w in enumerate(texts[7])])
+    seen, verified = [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, *rest: seen.append(pairs.count()) or verified(pairs, *rest))
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")))}
+    assert cls == {i: i if i < 120 else 7 for i in range(121)} and sum(seen) < 20
+
+
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_classifier.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1").select("doc_id", "quality".__str__(), F.col("toxic").alias("bad")).withColumnRenamed("quality", "good"), "doc_id").toPandas()
