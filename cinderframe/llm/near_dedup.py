@@ -14,10 +14,11 @@ at its original. What sketches miss is found by an exact way: an edit changes at
 three words, so two near texts share least_shared() of them. A text with fewer runs that a text of another class and of
 near length has too can have no link to find and drops out, as nearly all strangers do. Of the c such runs of one that
 stays, the c - least_shared() + 1 least, in one order for all texts, hold one that its link's other text has among its
-own (a prefix filter; the order is by the number of texts that have a run). All texts that share such a run and are still
-in different classes are compared, but for those that exact bounds rule out (lengths, word counts, how many pairs of words
-differ): in small groups by a join, in large ones by units of two blocks of members, which test the bounds in bulk and
-list what they leave; first one pair of each two classes, then all. So no pair that is in different classes is a link.
+own (a prefix filter; the order is by the number of texts that have a run). Runs that the same texts have are one key, so
+that a passage isn't a key for each of its words. All texts that share such a key and are still in different classes are
+compared, but for those that exact bounds rule out (lengths, word counts, how many pairs of words differ): in small groups
+by a join, in large ones by units of two blocks of members, which test the bounds in bulk and list what they leave; first
+one pair of each two classes, then all. So no pair that is in different classes is a link.
 Equal texts are one node throughout. Links become classes by alternating large-star and small-star steps on tables;
 nothing is collected.
 
@@ -223,20 +224,18 @@ def least_shared(n: np.ndarray) -> np.ndarray:
     return 2 * (n // 5) - 2 + np.minimum(n % 5, 2)
 
 
-def met_runs(g: np.ndarray, node: np.ndarray, label: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of postings (run, node, its class, its words): those whose run a text of another class and of near length has, and by how many texts the run is had."""
+def met_runs(g: np.ndarray, node: np.ndarray, label: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of postings (run, node, its class, its words): those whose run a text of another class and of near length has, by run."""
     order = np.argsort(g)
     same = g[order[1:]] == g[order[:-1]]
     order = order[(np.r_[False, same] | np.r_[same, False])[: len(g)]]
     order = order[np.lexsort((node[order], n[order], g[order]))]
     if not len(order):
-        return order, order
+        return order
     g, node = g[order], node[order]
     new = np.r_[True, (g[1:] != g[:-1]) | (node[1:] != node[:-1])]
     order, g = order[new], g[new]
     label, n, at = label[order], n[order].astype(np.int64), np.arange(len(order))
-    head = np.r_[True, g[1:] != g[:-1]]
-    times = np.diff(np.r_[np.flatnonzero(head), len(g)])[np.cumsum(head) - 1]
     # in order of length, the nearest of another class stand before and after those of one class that follow each other
     begins = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (label[1:] != label[:-1])])
     which = np.searchsorted(begins, at, "right") - 1
@@ -245,17 +244,35 @@ def met_runs(g: np.ndarray, node: np.ndarray, label: np.ndarray, n: np.ndarray)
     allowed = np.floor((1 - SIMILARITY + 1e-9) * n).astype(np.int64)
     met = (before >= 0) & (g[left] == g) & (n - n[left] <= allowed)
     met |= (after < len(g)) & (g[right] == g) & (n[right] - n <= allowed[right])
-    return order[met], times[met]
+    return order[met]
 
 
-def rarest(node: np.ndarray, key: np.ndarray, times: np.ndarray, need: np.ndarray) -> np.ndarray:
-    """Of met runs (node, key, by how many texts it is had, how many its node needs), those that a link's two texts must have one in common of."""
-    order = np.lexsort((key, times, node))
-    ranked = node[order]
-    head = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(order) else np.empty(0, np.int64)
-    count = np.diff(np.r_[head, len(order)])
-    rank = np.arange(len(order)) - np.repeat(head, count)
-    return order[rank <= np.repeat(count, count) - need[order]]
+def run_keys(g: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Of postings (run, node), by run: a key that runs of the same nodes share; keys of runs with fewer nodes are less.
+
+    Runs of other nodes that have a key in common by chance count as one: their nodes are compared, none is missed.
+    """
+    if not len(g):
+        return np.empty(0, np.int64)
+    head = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    count = np.diff(np.r_[head, len(g)])
+    nodes = np.add.reduceat(mixed(node.view(np.uint64)), head)
+    return np.repeat((np.minimum(count, (1 << 23) - 1) << 40) | (mixed(nodes) >> np.uint64(24)).astype(np.int64), count)
+
+
+def rarest(node: np.ndarray, key: np.ndarray, runs: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of (node, key, how many of its runs have it, how many runs its node needs), the keys, and their nodes, that a link's two texts must have one in common of.
+
+    A node's keys are taken in order until fewer runs are left than it needs.
+    """
+    order = np.lexsort((key, node))
+    node, key, need = node[order], key[order], need[order]
+    place = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (key[1:] != key[:-1])])
+    runs, node, key, need = np.add.reduceat(runs[order], place, dtype=np.int64), node[place], key[place], need[place]
+    head = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+    ended = np.repeat(np.cumsum(np.add.reduceat(runs, head)), np.diff(np.r_[head, len(node)]))
+    kept = ended - np.cumsum(runs) + runs >= need
+    return key[kept], node[kept]
 
 
 def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
@@ -308,25 +325,25 @@ def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
             x[at] = to
         node, label, n, lost = (np.repeat(np.concatenate(c), times) for c in (node, label, read("sizes", "<i4"), read("lost", "<i4")))
         g = np.concatenate(read("runs", "<u4"))
-        met, had = met_runs(g, node, label, n)
-        bucket = node[met] & (parts - 1)
-        order = np.lexsort((node[met], bucket))
-        met, ends = met[order], np.searchsorted(bucket[order], np.arange(parts + 1))
-        need = np.maximum(least_shared(n[met]) - lost[met], 1)
-        columns = g[met], node[met], had[order].astype("<u4"), need.astype("<i4")
-        out = [(i, key[0], *[c[a:b].tobytes() for c in columns]) for i, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
-        return pd.DataFrame(out, columns=["bucket", "part", "runs", "nodes", "times", "need"])
+        met = met_runs(g, node, label, n)
+        keys, node, need = run_keys(g[met], node[met]), node[met], np.maximum(least_shared(n[met]) - lost[met], 1)
+        bucket = node & (parts - 1)
+        order = np.lexsort((keys, node, bucket))
+        keys, node, need, bucket = keys[order], node[order], need[order], bucket[order]
+        place = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (keys[1:] != keys[:-1])][: len(node)])
+        ends = np.searchsorted(bucket[place], np.arange(parts + 1))
+        columns = keys[place], node[place], np.diff(np.r_[place, len(node)]).astype("<u4"), need[place].astype("<i4")
+        out = [(i, *[c[a:b].tobytes() for c in columns]) for i, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
+        return pd.DataFrame(out, columns=["bucket", "keys", "nodes", "runs", "need"])
 
     def keep(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        g, node, times, need = ([np.frombuffer(x, t) for x in rows[c]] for c, t in (("runs", "<u4"), ("nodes", "<i8"), ("times", "<u4"), ("need", "<i4")))
-        part = np.repeat(rows["part"].to_numpy(np.int64), [len(x) for x in g])
-        node, keys = np.concatenate(node), (part << np.int64(32)) | np.concatenate(g).astype(np.int64)
-        kept = rarest(node, keys, np.concatenate(times), np.concatenate(need).astype(np.int64))
-        return pd.DataFrame({"key": keys[kept], "node": node[kept]})
+        keys, node, runs, need = (np.concatenate([np.frombuffer(x, t) for x in rows[c]]) for c, t in (("keys", "<i8"), ("nodes", "<i8"), ("runs", "<u4"), ("need", "<i4")))
+        keys, node = rarest(node, keys, runs, need)
+        return pd.DataFrame({"key": keys, "node": node})
 
     named = docs.join(F.broadcast(labels) if few else labels, "node", "left").select("node", "text", F.coalesce("label", "node").alias("label"))
     dealt = named.mapInPandas(deal, "part int, runs binary, times binary, nodes binary, sizes binary, lost binary, joined binary, labels binary")
-    met = dealt.groupBy("part").applyInPandas(meet, "bucket int, part int, runs binary, nodes binary, times binary, need binary")
+    met = dealt.groupBy("part").applyInPandas(meet, "bucket int, keys binary, nodes binary, runs binary, need binary")
     return met.groupBy("bucket").applyInPandas(keep, "key long, node long")
 
 

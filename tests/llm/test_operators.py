@@ -498,6 +498,27 @@ def test_near_dedup_of_strangers_with_a_passage(spark):
     assert cls == {i: i - i % 2 for i, _ in rows}
 
 
+def test_near_dedup_takes_a_passage_for_few_keys(spark):
+    """The runs of a passage that the same texts have are one key, and all pairs that share enough runs still have a key in common."""
+    draw, texts = random.Random(37), []
+    passage = [f"p{i}" for i in range(100)]
+    for i in range(80):
+        own = list(passage)
+        for place in draw.sample(range(100), 3) if i % 10 == 0 else []:
+            own[place] = "changed"
+        texts.append([f"w{draw.randrange(10**5)}" for _ in range(30)] + own + [f"w{draw.randrange(10**5)}" for _ in range(30)])
+    texts += [["other", *texts[7][1:]], texts[3][:150], texts[5][:40] + ["more"] * 20]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "node long, text string")
+    rows = local(near_dedup.sharing(docs, spark.createDataFrame([], "node long, label long"), 13_000))
+    keys, runs = collections.defaultdict(set), [{tuple(t[j : j + 3]) for j in range(len(t) - 2)} for t in texts]
+    for r in rows:
+        keys[r["node"]].add(r["key"])
+    need = [int(near_dedup.least_shared(np.array(len(t)))) for t in texts]
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(runs[a] & runs[b]) >= max(need[a], need[b])]
+    assert len(pairs) > 3000 and [p for p in pairs if not keys[p[0]] & keys[p[1]]] == []
+    assert len(rows) < 20 * len(texts)  # a key for each run made some 37 a text
+
+
 def passages(families):
     """Strangers that share a passage; each has a near copy (edit similarity 0.82) whose own words differ in scattered places."""
     draw = random.Random(17)
