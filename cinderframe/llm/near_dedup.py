@@ -65,6 +65,8 @@ RUN = 3
 LONG = 12
 #: Postings of runs, about, that are sorted together, and parts at least that they are dealt to.
 POSTINGS, PARTS = 2_000_000, 64
+#: Edges at most whose components one task finds, without shuffles.
+FEW_EDGES = 10_000
 #: Bytes, about, of a text that are hashed together.
 PIECE = 1 << 17
 
@@ -392,13 +394,16 @@ def components(links: DataFrame) -> DataFrame:
     """links(node, hub) as (node, label): label is the least node of its component."""
     edges = stash(links.select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).where("u > v").distinct(), "edges")
     state = None
+    # the steps never add edges
+    few = edges.count() <= FEW_EDGES
+    dealt = lambda df: df.coalesce(1) if few else df
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = dealt(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u > v").distinct()
+        small = dealt(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))).where("u > v").distinct()
         new = stash(small, "edges")
         found = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         discard(edges)
@@ -414,6 +419,14 @@ def with_label(df: DataFrame, labels: DataFrame, node: str, label: str) -> DataF
     return df.join(named, node, "left").withColumn(label, F.coalesce(label, node))
 
 
+def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels(node, label), as components() has them, after further links(node, hub): only the links between classes are gone through."""
+    between = with_label(with_label(links, labels, "node", "a"), labels, "hub", "b").select(F.col("a").alias("node"), F.col("b").alias("hub"))
+    more = components(between)
+    # a class that joins another was its own label so far, and so not in labels
+    return stash(with_label(labels.withColumnRenamed("label", "old"), more, "old", "label").select("node", "label").unionByName(more), "labels")
+
+
 class Links:
     """The links found so far, the classes they make, and what is needed to verify more."""
 
@@ -431,7 +444,7 @@ class Links:
         new = stash(verified(pairs.select("node", "hub"), self.codes if codes is None else codes), "links")
         if not new.isEmpty():
             self.found = self.found.unionByName(new)
-            self.labels = components(self.found)
+            self.labels = joined_classes(self.labels, new)
 
     def verify_few(self, pairs: DataFrame, codes: DataFrame) -> None:
         """verify() of pairs whose texts are in codes: if they are small they are broadcast, not sent to each pair."""

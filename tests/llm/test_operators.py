@@ -627,6 +627,24 @@ def test_near_dedup_aligns_few_strangers(spark, monkeypatch):
     assert cls == {i: i if i < 120 else 7 for i in range(121)} and sum(seen) < 20
 
 
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_classes_grow_by_the_links_between_them(spark, monkeypatch, few):
+    """Links that are found later are joined to the classes so far without going through the earlier links again."""
+    draw, seen, components, root = random.Random(41), [], near_dedup.components, list(range(200))
+    monkeypatch.setattr(near_dedup, "FEW_EDGES", few, raising=False)
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, *rest: pairs)
+    monkeypatch.setattr(near_dedup, "components", lambda df: seen.append(df.count()) or components(df))
+    links = near_dedup.Links(spark.createDataFrame([], "node long, code string, n int"))
+    for size in (80, 30, 20):
+        pairs = [(draw.randrange(200), draw.randrange(200)) for _ in range(size)]
+        links.verify(spark.createDataFrame(pairs, "node long, hub long"))
+        for a, b in pairs:
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+        assert {r["node"]: r["label"] for r in local(links.labels)} == {i: x for i, x in enumerate(root) if i != x}
+    assert links.labels.count() == links.labels.distinct().count() and seen == [80, 30, 20]
+
+
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_classifier.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1").select("doc_id", "quality".__str__(), F.col("toxic").alias("bad")).withColumnRenamed("quality", "good"), "doc_id").toPandas()
