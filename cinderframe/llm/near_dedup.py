@@ -17,8 +17,8 @@ stays, the c - least_shared() + 1 least, in one order for all texts, hold one th
 own (a prefix filter; the order is by the number of texts that have a run). Runs that the same texts have are one key, so
 that a passage isn't a key for each of its words. All texts that share such a key and are still in different classes are
 compared, but for those that exact bounds rule out (lengths, word counts, how many pairs of words differ): in small groups
-by a join, in large ones by units of two blocks of members, which test the bounds in bulk and list what they leave; first
-one pair of each two classes, then all. So no pair that is in different classes is a link.
+by a join, in large ones by units of two blocks of members, which test the bounds in bulk, count the words that two texts
+share and list what is left; first one pair of each two classes, then all. So no pair that is in different classes is a link.
 Equal texts are one node throughout. Links become classes by alternating large-star and small-star steps on tables;
 nothing is collected.
 
@@ -61,6 +61,8 @@ BINS = 64
 BITS = 2048
 #: Words of the runs of which near texts share least_shared().
 RUN = 3
+#: Words, about, of texts whose shared words with one text are counted together.
+COUNTED = 1 << 20
 #: Words at least of a text one of whose links is to a text of more than SHORT words.
 LONG = 12
 #: Postings of runs, about, that are sorted together, and parts at least that they are dealt to.
@@ -490,10 +492,47 @@ def small_pairs(members: DataFrame, bounds: DataFrame) -> DataFrame:
     return pairs.select("node", F.col("node_2").alias("hub")).distinct()
 
 
+class Words:
+    """The words of texts, given as coded(), to count how many of them a text shares with each of others.
+
+    A code point's repetitions in a text are numbered: of those of another, as many are shared as have less numbers than it has repetitions.
+    """
+
+    def __init__(self, codes: list[str]):
+        words = [np.sort(np.frombuffer(c.encode("utf-32-le"), "<u4") - np.uint32(0x10000)) for c in codes]
+        self.ends = np.cumsum([0, *map(len, words)])
+        self.words, at = np.concatenate(words), np.arange(self.ends[-1])
+        new = np.ones(len(at), bool)
+        new[1:] = self.words[1:] != self.words[:-1]
+        new[self.ends[:-1][self.ends[:-1] < len(at)]] = True
+        self.number = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint32)
+
+    def shared(self, x: np.ndarray, other: Words, y: np.ndarray) -> np.ndarray:
+        """How many words text x[i] has in common with other's text y[i], repetitions counted; x in order."""
+        out, table = np.empty(len(x), np.int64), np.zeros(1 << 20, np.uint32)
+        begins = np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
+        for low, high in zip(begins, np.r_[begins[1:], len(x)][: len(begins)], strict=True):
+            a, b = self.ends[x[low]], self.ends[x[low] + 1]
+            # the last number of a word's repetitions is written last
+            table[self.words[a:b]] = self.number[a:b] + np.uint32(1)
+            sizes = other.ends[y[low:high] + 1] - other.ends[y[low:high]]
+            done = 0
+            while done < len(sizes):
+                more = max(1, int(np.searchsorted(np.cumsum(sizes[done:]), COUNTED, "right")))
+                n = sizes[done : done + more]
+                ends = np.r_[0, np.cumsum(n)]
+                at = np.repeat(other.ends[y[low + done : low + done + len(n)]] - ends[:-1], n) + np.arange(ends[-1])
+                hits = np.r_[0, np.cumsum(other.number[at] < table[other.words[at]])]
+                out[low + done : low + done + len(n)] = hits[ends[1:]] - hits[ends[:-1]]
+                done += more
+            table[self.words[a:b]] = 0
+        return out
+
+
 def block_pairs(one: tuple, two: tuple | None, least: float = SIMILARITY) -> tuple:
-    """Pairs of different classes, of members (node, a, n, bag, bits: arrays) of two blocks or of one, that may_be_near() leaves: node, hub, a, b, slack.
+    """Pairs of different classes, of members (node, a, n, bag, bits: arrays, Words) of two blocks or of one, that may_be_near() and their shared words leave: node, hub, a, b, slack.
 
-    Counts above 255 are cut there, which only brings them nearer; slack is the share of the allowed edits that are sure.
+    Counts above 255 are cut there, which only brings them nearer; slack is the share of the allowed edits that are sure: the words of the longer text that aren't shared.
     """
     other, out = two or one, []
     for i in range(0, len(one[0]), 64):
@@ -510,22 +549,25 @@ def block_pairs(one: tuple, two: tuple | None, least: float = SIMILARITY) -> tup
         sure = (np.maximum(p, q) - np.minimum(p, q)).sum(axis=1, dtype=np.int32) + apart[x, y]
         kept = sure <= 2 * most[x, y]
         x, y = x[kept], y[kept]
-        out.append((one[0][i + x], other[0][y], one[1][i + x], other[1][y], sure[kept] / (2.0 * np.maximum(most[x, y], 1))))
+        sure = np.maximum(one[2][i + x], other[2][y]) - one[5].shared(i + x, other[5], y)
+        kept = sure <= most[x, y]
+        x, y = x[kept], y[kept]
+        out.append((one[0][i + x], other[0][y], one[1][i + x], other[1][y], sure[kept] / np.maximum(most[x, y], 1.0)))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def large_pairs(members: DataFrame, bounds: DataFrame, closest: bool) -> DataFrame:
-    """node, hub: like small_pairs() of the larger buckets; with closest, of each two classes only the pair that bounds leave most room.
+def large_pairs(members: DataFrame, codes: DataFrame, closest: bool) -> DataFrame:
+    """node, hub: like small_pairs() of the larger buckets, without those that share too few words; with closest, of each two classes only the pair that shares most.
 
     A bucket is cut in blocks of about BLOCK members, and each two blocks are one unit of work, whatever the bucket's size.
     """
-    large = members.where(F.col("size") > SMALL).join(bounds, "node")
+    large = members.where(F.col("size") > SMALL).join(codes, "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     large = large.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    units = large.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "a", "n", "bag", "bits")
+    units = large.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "a", "n", "bag", "bits", "code")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        side = lambda r: (r["node"].to_numpy(), r["a"].to_numpy(), r["n"].to_numpy(np.int32), np.minimum(np.stack(r["bag"].to_list()), 255).astype(np.uint8), np.stack(r["bits"].to_list()).view(np.uint64))
+        side = lambda r: (r["node"].to_numpy(), r["a"].to_numpy(), r["n"].to_numpy(np.int32), np.minimum(np.stack(r["bag"].to_list()), 255).astype(np.uint8), np.stack(r["bits"].to_list()).view(np.uint64), Words(r["code"].to_list()))
         first, second = rows[rows["block"] == key[1]], rows[rows["block"] == key[2]] if key[1] != key[2] else None
         if not len(first) or (second is not None and not len(second)):
             return pd.DataFrame({c: np.empty(0, np.int64) for c in ("node", "hub", "a", "b")} | {"slack": np.empty(0)})
@@ -550,7 +592,7 @@ def settled(members: DataFrame, links: Links, docs: DataFrame) -> None:
         return
     # first one pair of each two classes: links join most of them, which makes their other pairs needless
     for closest in (True, False):
-        links.verify_few(stash(large_pairs(members, bounds, closest), "pairs"), codes)
+        links.verify_few(stash(large_pairs(members, codes, closest), "pairs"), codes)
         if closest:
             members = stash(mixed_buckets(members, links), "members")
 

@@ -627,6 +627,33 @@ def test_near_dedup_aligns_few_strangers(spark, monkeypatch):
     assert cls == {i: i if i < 120 else 7 for i in range(121)} and sum(seen) < 20
 
 
+def test_near_dedup_lists_few_pairs_of_a_large_bucket(spark, monkeypatch):
+    """Strangers whose lengths, pairs of words and binned counts allow a link are told apart by the words they share before they are listed."""
+    draw = random.Random(43)
+    passage, rows, listed, large_pairs = [f"p{i}" for i in range(280)], [], [], near_dedup.large_pairs
+    for i in range(60):
+        text = passage[:140] + [f"w{draw.randrange(10**5)}" for _ in range(120)] + passage[140:]
+        rows.append((2 * i, " ".join(text)))
+        if i % 10 == 0:
+            for place in draw.sample(range(400), 40):
+                text[place] = f"x{draw.randrange(10**5)}"
+            rows.append((2 * i + 1, " ".join(text)))
+    monkeypatch.setattr(near_dedup, "large_pairs", lambda *args: (found := large_pairs(*args), listed.append(found.count()))[0])
+    cls = {r["doc_id"]: r["class_id"] for r in local(near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert cls == {i: i - i % 2 for i, _ in rows} and len(listed) == 2 and sum(listed) < 20
+
+
+@pytest.mark.parametrize("counted", [1 << 20, 60])
+def test_shared_words(monkeypatch, counted):
+    monkeypatch.setattr(near_dedup, "COUNTED", counted)
+    draw = random.Random(47)
+    texts = ["".join(chr(0x10000 + draw.choice([0, 1, 0xFFFFF, draw.randrange(30)])) for _ in range(draw.choice([0, 1, 7, 50]))) for _ in range(60)] + [""]
+    one, two = near_dedup.Words(texts[:30]), near_dedup.Words(texts[30:])
+    x, y = (v.ravel() for v in np.meshgrid(range(30), range(31), indexing="ij"))
+    assert one.shared(x, two, y).tolist() == [sum((collections.Counter(texts[i]) & collections.Counter(texts[30 + j])).values()) for i, j in zip(x, y, strict=True)]
+    assert near_dedup.Words(["", ""]).shared(x[:0], two, y[:0]).tolist() == [] and near_dedup.Words([""]).shared(x[:1], near_dedup.Words(["", ""]), y[:1]).tolist() == [0]
+
+
 @pytest.mark.parametrize("few", [0, 10_000])
 def test_classes_grow_by_the_links_between_them(spark, monkeypatch, few):
     """Links that are found later are joined to the classes so far without going through the earlier links again."""
