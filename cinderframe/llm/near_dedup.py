@@ -611,9 +611,10 @@ def node_links(docs: DataFrame) -> Links:
     wanted = stash(shared.select("node").distinct(), "wanted")
     links = Links(coded_of(docs, wanted))
     spokes = stash(shared.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("buckets")), "spokes")
+    bounds = links.codes.select("node", "n", "bag", "bits")
     # first each node's most common hub: that makes most other pairs needless
-    links.verify(spokes.groupBy("node").agg(F.max_by("hub", F.struct("buckets", "hub")).alias("hub")))
-    links.verify(near_only(links.crossing(spokes.select("node", "hub")), links.codes.select("node", "n", "bag", "bits")))
+    links.verify(near_only(spokes.groupBy("node").agg(F.max_by("hub", F.struct("buckets", "hub")).alias("hub")), bounds))
+    links.verify(near_only(links.crossing(spokes.select("node", "hub")), bounds))
     n_words = kept.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()[0]
     release(docs.sparkSession)
     runs = stash(sharing(docs, links.labels, n_words), "sharing")

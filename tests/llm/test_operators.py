@@ -654,6 +654,14 @@ def test_shared_words(monkeypatch, counted):
     assert near_dedup.Words(["", ""]).shared(x[:0], two, y[:0]).tolist() == [] and near_dedup.Words([""]).shared(x[:1], near_dedup.Words(["", ""]), y[:1]).tolist() == [0]
 
 
+def test_near_dedup_rules_out_strangers_of_a_hub(spark, monkeypatch):
+    """Strangers that meet a hub by a passage that both have are not aligned with it."""
+    rows, seen, verified = passages(150), [], near_dedup.verified
+    monkeypatch.setattr(near_dedup, "verified", lambda pairs, *rest: seen.append(pairs.count()) or verified(pairs, *rest))
+    near_dedup.node_links(spark.createDataFrame(rows, "node long, text string"))
+    assert seen[0] <= 150
+
+
 @pytest.mark.parametrize("few", [0, 10_000])
 def test_classes_grow_by_the_links_between_them(spark, monkeypatch, few):
     """Links that are found later are joined to the classes so far without going through the earlier links again."""
