@@ -32,14 +32,14 @@ from __future__ import annotations
 
 import functools
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinderframe.llm.common import REMEMBERED, SPACE_CHARS, discard, mixed, release, stash, whole_text
+from cinderframe.llm.common import REMEMBERED, SPACE_CHARS, by_slices, discard, give_back, mixed, release, stash, whole_text
 
 K = 5
 SKETCHES = 64
@@ -67,6 +67,8 @@ COUNTED = 1 << 20
 LONG = 12
 #: Postings of runs, about, that are sorted together, and parts at least that they are dealt to.
 POSTINGS, PARTS = 2_000_000, 64
+#: Postings, about, that a task gathers before it deals them to the parts.
+DEALT = 500_000
 #: Edges at most whose components one task finds, without shuffles.
 FEW_EDGES = 10_000
 #: Bytes, about, of a text that are hashed together.
@@ -216,7 +218,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             short = [(shortened(ids) if len(ids) <= SHORT else np.empty(0, np.uint64)).astype(np.int64) for ids in texts]
             yield pd.DataFrame({"node": nodes, "sketch": keys, "short": short, "n": [len(ids) for ids in texts]})
 
-    return docs.mapInPandas(run, "node long, sketch array<long>, short array<long>, n int")
+    return by_slices(docs, run, "node long, sketch array<long>, short array<long>, n int")
 
 
 def least_shared(n: np.ndarray) -> np.ndarray:
@@ -228,11 +230,16 @@ def least_shared(n: np.ndarray) -> np.ndarray:
     return 2 * (n // 5) - 2 + np.minimum(n % 5, 2)
 
 
-def met_runs(g: np.ndarray, node: np.ndarray, label: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Of postings (run, node, its class, its words): those whose run a text of another class and of near length has, by run."""
+def repeated(g: np.ndarray) -> np.ndarray:
+    """The places of the values that g has more than once, by value."""
     order = np.argsort(g)
     same = g[order[1:]] == g[order[:-1]]
-    order = order[(np.r_[False, same] | np.r_[same, False])[: len(g)]]
+    return order[(np.r_[False, same] | np.r_[same, False])[: len(g)]]
+
+
+def met_runs(g: np.ndarray, node: np.ndarray, label: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of postings (run, node, its class, its words): those whose run a text of another class and of near length has, by run."""
+    order = repeated(g)
     order = order[np.lexsort((node[order], n[order], g[order]))]
     if not len(order):
         return order
@@ -279,6 +286,17 @@ def rarest(node: np.ndarray, key: np.ndarray, runs: np.ndarray, need: np.ndarray
     return key[kept], node[kept]
 
 
+def thrifty(run: Callable[[tuple, pd.DataFrame], pd.DataFrame]) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    """run for applyInPandas, after which the worker keeps no memory that it freed."""
+
+    def group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = run(key, rows)
+        give_back()
+        return out
+
+    return group
+
+
 def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
     """key, node: all links of docs(node, text) that labels(node, label) don't hold and that have a text of more than SHORT words are among those of a key.
 
@@ -293,11 +311,11 @@ def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
         held, about, size = [], [], 0
 
         def flushed() -> pd.DataFrame:
-            runs, which = np.concatenate(held), np.repeat(np.arange(len(held)), [len(h) for h in held])
+            runs, which = np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.uint32), [len(h) for h in held])
             node, label, n, lost = (np.array(c, t) for c, t in zip(zip(*about, strict=True), ("<i8", "<i8", "<i4", "<i4"), strict=True))
             part = (runs >> np.uint64(32)).astype(np.uint16)
             order = np.argsort(part, kind="stable")
-            ends, runs, which = np.searchsorted(part[order], np.arange(parts + 1)), runs[order].astype("<u4"), which[order]
+            ends, runs, which = np.searchsorted(part[order], np.arange(parts + 1)), runs.astype("<u4")[order], which[order]
             rows = []
             for p, (a, b) in enumerate(itertools.pairwise(ends)):
                 if a < b:
@@ -315,7 +333,7 @@ def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
                     held.append(runs)
                     about.append((node, label, len(ids), len(own) - len(runs)))
                     size += len(runs)
-                    if size >= POSTINGS:
+                    if size >= DEALT:
                         yield flushed()
                         held, about, size = [], [], 0
         if held:
@@ -327,8 +345,12 @@ def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
         label = [x.copy() for x in node]
         for x, at, to in zip(label, joined, named, strict=True):
             x[at] = to
-        node, label, n, lost = (np.repeat(np.concatenate(c), times) for c in (node, label, read("sizes", "<i4"), read("lost", "<i4")))
         g = np.concatenate(read("runs", "<u4"))
+        twice = repeated(g)
+        # most runs are one text's alone; what is known of their texts isn't repeated for them
+        g, text = g[twice], np.repeat(np.arange(len(times), dtype=np.uint32), times)[twice]
+        node, label, n, lost = (np.concatenate(c)[text] for c in (node, label, read("sizes", "<i4"), read("lost", "<i4")))
+        del twice, text
         met = met_runs(g, node, label, n)
         keys, node, need = run_keys(g[met], node[met]), node[met], np.maximum(least_shared(n[met]) - lost[met], 1)
         bucket = node & (parts - 1)
@@ -346,9 +368,9 @@ def sharing(docs: DataFrame, labels: DataFrame, n_words: int) -> DataFrame:
         return pd.DataFrame({"key": keys, "node": node})
 
     named = docs.join(F.broadcast(labels) if few else labels, "node", "left").select("node", "text", F.coalesce("label", "node").alias("label"))
-    dealt = named.mapInPandas(deal, "part int, runs binary, times binary, nodes binary, sizes binary, lost binary, joined binary, labels binary")
-    met = dealt.groupBy("part").applyInPandas(meet, "bucket int, keys binary, nodes binary, runs binary, need binary")
-    return met.groupBy("bucket").applyInPandas(keep, "key long, node long")
+    dealt = by_slices(named, deal, "part int, runs binary, times binary, nodes binary, sizes binary, lost binary, joined binary, labels binary")
+    met = dealt.groupBy("part").applyInPandas(thrifty(meet), "bucket int, keys binary, nodes binary, runs binary, need binary")
+    return met.groupBy("bucket").applyInPandas(thrifty(keep), "key long, node long")
 
 
 def coded(docs: DataFrame) -> DataFrame:
@@ -360,7 +382,7 @@ def coded(docs: DataFrame) -> DataFrame:
             bags, bits = zip(*map(bounded, texts), strict=True) if texts else ((), ())
             yield pd.DataFrame({"node": nodes, "code": codes, "n": [len(ids) for ids in texts], "bag": list(bags), "bits": list(bits)})
 
-    return docs.mapInPandas(run, "node long, code string, n int, bag array<int>, bits array<long>")
+    return by_slices(docs, run, "node long, code string, n int, bag array<int>, bits array<long>")
 
 
 def coded_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -575,7 +597,7 @@ def large_pairs(members: DataFrame, codes: DataFrame, closest: bool) -> DataFram
         out = pd.DataFrame({"node": np.maximum(node, hub), "hub": np.minimum(node, hub), "a": np.minimum(a, b), "b": np.maximum(a, b), "slack": slack})
         return out.sort_values("slack").drop_duplicates(["a", "b"]) if closest else out
 
-    found = units.groupBy("key", "i", "j").applyInPandas(run, "node long, hub long, a long, b long, slack double")
+    found = units.groupBy("key", "i", "j").applyInPandas(thrifty(run), "node long, hub long, a long, b long, slack double")
     if closest:
         return found.groupBy("a", "b").agg(F.min_by(F.struct("node", "hub"), F.struct("slack", "node", "hub")).alias("p")).select("p.node", "p.hub")
     return found.select("node", "hub").distinct()
