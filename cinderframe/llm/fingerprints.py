@@ -91,9 +91,11 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).alias("doc_id"), t.alias("text"), F.xxhash64(t).alias("h"), anchors(t).alias("anchors"))
 
 
-def neighbours(keys: DataFrame, parts: int) -> DataFrame:
-    """keys(doc_id, h, n_chars), all different, with next_id, next_h: the next key, the first one after the last."""
-    dealt = stash(keys.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "h").withColumn("part", F.spark_partition_id()), "keys")
+def neighbours(dealt: DataFrame) -> DataFrame:
+    """dealt(doc_id, h, n_chars, part), all different, with next_id, next_h: the next key, the first one after the last.
+
+    The parts are ranges of (doc_id, h) in ascending order.
+    """
     order = W.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "h")
     ends = dealt.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h")).alias("head"))
     # a row for each partition
@@ -111,14 +113,16 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     spark = docs.sparkSession
     t = whole_text(F.col(text))
     keys = docs.select(F.col(key).alias("doc_id"), F.xxhash64(t).alias("h"), F.length(t).cast("bigint").alias("n_chars"))
-    n_rows = stash(keys.groupBy("doc_id", "h", "n_chars").count(), "rows")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = neighbours(n_rows.drop("count"), parts)
+    # one table for the counts and the parts: each of its files costs a task several processes (chmod) on a local disk
+    n_rows = keys.groupBy("doc_id", "h", "n_chars").count().repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "h")
+    dealt = stash(n_rows.withColumn("part", F.spark_partition_id()), "keys")
+    links = neighbours(dealt.drop("count"))
     asked = links.select(F.col("next_id").alias("doc_id"), F.col("next_h").alias("h"), F.col("doc_id").alias("asker_id"), F.col("h").alias("asker_h"), F.floor(F.col("n_chars") / 4).cast("int").alias("quarter"))
     # both joins need the same columns of it by the same key, so one exchange serves both
     printed = fingerprint(docs, key, text)
     sent = printed.alias("d").join(asked.alias("a"), F.expr("d.doc_id <=> a.doc_id and d.h = a.h")).select("asker_id", "asker_h", F.substring("text", F.lit(1), F.col("quarter")).alias("prefix"), F.col("anchors").alias("next_anchors"))
-    if not n_rows.where("count > 1").isEmpty():
+    if not dealt.where("count > 1").isEmpty():
         sent = sent.dropDuplicates(["asker_id", "asker_h"])
     both = printed.alias("d").join(sent.alias("s"), F.expr("d.doc_id <=> s.asker_id and d.h = s.asker_h"))
     n = F.length("text")

@@ -194,6 +194,20 @@ def test_fingerprints_by_brute_force(spark, docs):
         assert rows[a]["near_edited"] == pytest.approx(brute_likeness(prints[a], other)) and rows[a]["near_next"] == pytest.approx(brute_likeness(prints[a], prints[b]))
 
 
+def test_fingerprints_write_one_table(spark, monkeypatch):
+    """Repeated rows, null keys and the ends of parts come out of one table of keys."""
+    stash, made = fingerprints.stash, []
+    monkeypatch.setattr(fingerprints, "stash", lambda df, label: made.append(label) or stash(df, label))
+    texts = [(i, f"document {i} of a few words") for i in (*range(40), 7, 7, 39)] + [(None, "no key"), (None, "no key"), (5, "another text")]
+    rows = local(fingerprints.with_next(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)))
+    follows = {39: "no key", **{i: f"document {i + 1} of a few words" for i in range(39) if i not in (4, 5)}}
+    assert made == ["keys"] and collections.Counter(r["doc_id"] for r in rows) == collections.Counter(i for i, _ in texts)
+    for i, after in follows.items():
+        x = f"document {i} of a few words"
+        edited = x[: len(x) - len(x) // 4] + after[: len(x) // 4]
+        assert {r["edited_sha256"] for r in rows if r["doc_id"] == i} == {hashlib.sha256(edited.encode()).hexdigest()}
+
+
 class Katz:
     """The model by dictionaries: counts of each order, and the recursion as its definition says it."""
 
